@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_chunks
 from .pretok import LIMIT, Codebook, code_points, cut
@@ -177,7 +178,8 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "decoded",
                 text = pc.if_else(lists.is_valid(), text, None)
             yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, text_col])
 
-    return encoded.mapInArrow(run, encoded.drop(text_col).schema.add(text_col, "string"))
+    rest = encoded.drop(text_col)
+    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(text_col, T.StringType())]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
