@@ -69,3 +69,8 @@ def components(edges: DataFrame) -> DataFrame:
         e = keep(e.join(to("u"), "u").join(to("v"), "v").select(F.least("new_u", "new_v").alias("u"), F.greatest("new_u", "new_v").alias("v")).where("u <> v").distinct(), "edges")
         turn += 1
     return keep(tree, "tree")
+
+
+def sized(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A written table, to be broadcast if it has at most `most` rows; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
