@@ -1,4 +1,5 @@
 """All queries of the library by name, with SQL for DuckDB where SQL can express them."""
 
-QUERIES = {}
-SQL = {}
+from .plans.survey_queries import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
