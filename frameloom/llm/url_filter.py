@@ -85,6 +85,16 @@ class Markov:
         self.log = np.log(p).ravel()
 
 
+def sparse(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that occur and their counts, which are far fewer than the table's places."""
+    g = np.flatnonzero(counts)
+    return g.astype(np.int32), counts[g].astype(np.float32)
+
+
+def dense(pair: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    return np.bincount(pair[0], pair[1], SYMBOLS**ORDER)
+
+
 def count_grams(labelled: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     """Window counts per (verdict, fold). Tasks send their own counts, at most one row per window that they saw."""
 
@@ -114,7 +124,7 @@ def scores(df: DataFrame, models: list) -> DataFrame:
     """Add `score`: the mean log-likelihood difference per symbol; a row's `fold` names the pair of models."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [(Markov(m.value[0]).log - Markov(m.value[1]).log) for m in models]
+        tables = [Markov(dense(m.value[0])).log - Markov(dense(m.value[1])).log for m in models]
         for batch in batches:
             fold = batch.column("fold").to_numpy()
             got = [float(tables[f][grams([c])].mean()) for c, f in zip(symbols(batch.column("text")), fold, strict=True)]
@@ -138,7 +148,7 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         judged = judged.withColumn("score", F.lit(None).cast("double")).withColumn("own", F.lit("allow"))
     else:
         # models of the other fold score the held-out rule URLs; their scores are counted in bins of 1/100
-        held = [spark.sparkContext.broadcast((counts["allow", 1 - f], counts["block", 1 - f])) for f in (0, 1)]
+        held = [spark.sparkContext.broadcast((sparse(counts["allow", 1 - f]), sparse(counts["block", 1 - f]))) for f in (0, 1)]
         bins = scores(labelled, held).groupBy("verdict", F.floor(F.col("score") * 100).cast("int").alias("bin")).count().collect()
         lo = min(r["bin"] for r in bins)
         n = max(r["bin"] for r in bins) - lo + 2
@@ -152,7 +162,7 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         mean = (hist["allow"] * centre).sum() / max(hist["allow"].sum(), 1)
         spread = np.sqrt((hist["allow"] * (centre - mean) ** 2).sum() / max(hist["allow"].sum(), 1))
         threshold = (lo + best[len(best) // 2]) / 100 - margin * spread
-        judged = scores(judged.select("id", "host", "path", "rule", "by_rule", "text", "fold"), [spark.sparkContext.broadcast((whole["allow"], whole["block"]))])
+        judged = scores(judged.select("id", "host", "path", "rule", "by_rule", "text", "fold"), [spark.sparkContext.broadcast((sparse(whole["allow"]), sparse(whole["block"])))])
         judged = judged.withColumn("own", F.when((F.col("score") < F.lit(float(threshold))) & (F.length("text") > 0), "block").otherwise("allow"))
     score = F.when(F.col("rule").isNull(), F.col("score")).alias("score")
     return judged.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", "own").alias("verdict"), score)
