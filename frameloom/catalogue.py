@@ -1,5 +1,6 @@
 """All queries of the library by name, with SQL for DuckDB where SQL can express them."""
 
+from .plans import imaging_queries  # noqa: F401  adds its queries to those of the survey
 from .plans.survey_queries import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

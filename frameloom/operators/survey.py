@@ -8,25 +8,25 @@ from pyspark.sql import functions as F
 from ..functions import formulas as fx
 
 
-def nearest_in_time(left: DataFrame, masters: DataFrame, block: int = 86_400_000_000) -> DataFrame:
-    """frame_id, master_id: the master of the frame's detector that is nearest in time, the earlier one on ties, then the
-    smaller id. Both tables need frame_id, detector, us. Times are cut into blocks, and a block gets the last master
+def nearest_in_time(left: DataFrame, masters: DataFrame, by: tuple[str, ...] = ("detector",), block: int = 86_400_000_000) -> DataFrame:
+    """frame_id, master_id: of the masters that agree in `by`, the nearest in time, the earlier one on ties, then the
+    smaller id. Both tables need frame_id, us and the columns of `by`. Times are cut into blocks, and a block gets the last master
     before it and the first one after it, so that no window holds a detector's whole history."""
     blk = F.floor(F.col("us") / block)
-    m = masters.select("detector", "us", F.col("frame_id").alias("master_id"), blk.alias("blk"))
-    ends = m.groupBy("detector", "blk").agg(F.min(F.struct("us", "master_id")).alias("lo"), F.max(F.struct(F.col("us"), (-F.col("master_id")).alias("neg"))).alias("hi"))
-    used = left.select("detector", blk.alias("blk")).distinct()
-    marks = used.select("detector", "blk", F.lit(None).cast(ends.schema["lo"].dataType).alias("lo"), F.lit(None).cast(ends.schema["hi"].dataType).alias("hi")).unionByName(ends)
-    marks = marks.groupBy("detector", "blk").agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"))
-    before = Window.partitionBy("detector").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("detector").orderBy("blk").rowsBetween(1, Window.unboundedFollowing)
-    edge = marks.select("detector", "blk", F.last("hi", True).over(before).alias("prev"), F.first("lo", True).over(after).alias("next"))
-    extra = edge.select("detector", "blk", F.explode(F.array(F.struct(F.col("prev.us").alias("us"), (-F.col("prev.neg")).alias("master_id")), F.struct(F.col("next.us").alias("us"), F.col("next.master_id").alias("master_id")))).alias("m"))
-    extra = extra.select("detector", "m.us", "m.master_id", "blk").where("us IS NOT NULL")
+    m = masters.select(*by, "us", F.col("frame_id").alias("master_id"), blk.alias("blk"))
+    ends = m.groupBy(*by, "blk").agg(F.min(F.struct("us", "master_id")).alias("lo"), F.max(F.struct(F.col("us"), (-F.col("master_id")).alias("neg"))).alias("hi"))
+    used = left.select(*by, blk.alias("blk")).distinct()
+    marks = used.select(*by, "blk", F.lit(None).cast(ends.schema["lo"].dataType).alias("lo"), F.lit(None).cast(ends.schema["hi"].dataType).alias("hi")).unionByName(ends)
+    marks = marks.groupBy(*by, "blk").agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+    before = Window.partitionBy(*by).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*by).orderBy("blk").rowsBetween(1, Window.unboundedFollowing)
+    edge = marks.select(*by, "blk", F.last("hi", True).over(before).alias("prev"), F.first("lo", True).over(after).alias("next"))
+    extra = edge.select(*by, "blk", F.explode(F.array(F.struct(F.col("prev.us").alias("us"), (-F.col("prev.neg")).alias("master_id")), F.struct(F.col("next.us").alias("us"), F.col("next.master_id").alias("master_id")))).alias("m"))
+    extra = extra.select(*by, "m.us", "m.master_id", "blk").where("us IS NOT NULL")
     none = F.lit(None).cast("long")
-    both = m.unionByName(extra).select("detector", "blk", "us", none.alias("frame_id"), "master_id").unionByName(left.select("detector", blk.alias("blk"), "us", "frame_id", none.alias("master_id")))
-    up = Window.partitionBy("detector", "blk").orderBy("us", F.col("master_id").isNull(), F.desc("master_id")).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("detector", "blk").orderBy(F.desc("us"), F.col("master_id").isNull(), F.desc("master_id")).rowsBetween(Window.unboundedPreceding, 0)
+    both = m.unionByName(extra).select(*by, "blk", "us", none.alias("frame_id"), "master_id").unionByName(left.select(*by, blk.alias("blk"), "us", "frame_id", none.alias("master_id")))
+    up = Window.partitionBy(*by, "blk").orderBy("us", F.col("master_id").isNull(), F.desc("master_id")).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*by, "blk").orderBy(F.desc("us"), F.col("master_id").isNull(), F.desc("master_id")).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.when(F.col("master_id").isNotNull(), F.struct("us", "master_id"))
     near = both.withColumns({"a": F.last(seen, True).over(up), "b": F.last(seen, True).over(down)}).where("frame_id IS NOT NULL")
     earlier = F.col("b").isNull() | (F.col("a").isNotNull() & (F.col("us") - F.col("a.us") <= F.col("b.us") - F.col("us")))
@@ -34,12 +34,14 @@ def nearest_in_time(left: DataFrame, masters: DataFrame, block: int = 86_400_000
 
 
 def nearest_dark(left: DataFrame, masters: DataFrame) -> DataFrame:
-    """frame_id, master_id: of the detector's masters with the closest exposure, the one nearest in time. Masters are few
-    for each detector, and each frame's best is a partial minimum, so nothing is sorted."""
-    m = masters.select("detector", F.col("frame_id").alias("master_id"), F.col("us").alias("m_us"), F.col("exptime").alias("m_exp"))
-    key = F.struct(F.abs(F.col("exptime") - F.col("m_exp")).alias("e"), F.col("m_exp"), F.abs(F.col("us") - F.col("m_us")).alias("d"), F.col("m_us"), F.col("master_id"))
-    best = left.join(m, "detector").groupBy("frame_id").agg(F.min(key).alias("k"))
-    return best.select("frame_id", F.col("k.master_id").alias("master_id"), F.col("k.e").alias("exp_gap"))
+    """frame_id, master_id, exp_gap: of the detector's masters with the closest exposure (the shorter one on ties), the
+    one nearest in time. Only a detector's distinct exposures, which are few, are compared with each other."""
+    have = masters.select("detector", F.col("exptime").alias("m_exp")).distinct()
+    gap = F.struct(F.abs(F.col("exptime") - F.col("m_exp")).alias("e"), F.col("m_exp").alias("m_exp"))
+    best = left.select("detector", "exptime").distinct().join(have, "detector").groupBy("detector", "exptime").agg(F.min(gap).alias("g"))
+    used = left.join(best, ["detector", "exptime"]).select("frame_id", "detector", "us", F.col("g.m_exp").alias("m_exp"), F.col("g.e").alias("exp_gap"))
+    near = nearest_in_time(used, masters.withColumnRenamed("exptime", "m_exp"), ("detector", "m_exp"))
+    return near.join(used.select("frame_id", "exp_gap"), "frame_id")
 
 
 def stack(pixels: DataFrame, keys: list[str], k: float) -> DataFrame:
@@ -71,10 +73,11 @@ def cells(df: DataFrame, size: float, around: bool = False) -> DataFrame:
     return out.withColumns({"cx": cx + F.col("_i"), "cy": cy + F.col("_j")}).drop("_i", "_j")
 
 
-def pairs_within(left: DataFrame, right: DataFrame, radius: float, closed: bool = False) -> DataFrame:
-    """left's columns, r_-prefixed right's, and sep: all pairs closer than radius, by a join on grid cells."""
-    other = cells(right, radius, around=True).withColumnsRenamed({c: f"r_{c}" for c in right.columns})
-    both = cells(left, radius).join(other, ["cx", "cy"]).withColumn("sep", F.hypot(F.col("x") - F.col("r_x"), F.col("y") - F.col("r_y")))
+def pairs_within(left: DataFrame, right: DataFrame, radius: float, closed: bool = False, by: tuple[str, ...] = ("frame_id",)) -> DataFrame:
+    """left's columns, r_-prefixed right's (but for `by`), and sep: all pairs that agree in `by` and are closer than
+    radius, by a join on grid cells."""
+    other = cells(right, radius, around=True).withColumnsRenamed({c: f"r_{c}" for c in right.columns if c not in by})
+    both = cells(left, radius).join(other, [*by, "cx", "cy"]).withColumn("sep", F.hypot(F.col("x") - F.col("r_x"), F.col("y") - F.col("r_y")))
     return both.where(F.col("sep") <= radius if closed else F.col("sep") < radius).drop("cx", "cy")
 
 
@@ -84,10 +87,10 @@ def match_nearest(sources: DataFrame, stars: DataFrame, radius: float) -> DataFr
     return best.select("src_id", F.col("b.r_star_id").alias("star_id"), F.col("b.sep").alias("sep"))
 
 
-def isolated(stars: DataFrame, radius: float) -> DataFrame:
-    """Stars without another star closer than radius."""
-    crowded = pairs_within(stars, stars, radius).where("star_id <> r_star_id").select("star_id").distinct()
-    return stars.join(crowded, "star_id", "left_anti")
+def isolated(stars: DataFrame, radius: float, by: tuple[str, ...] = ("frame_id",)) -> DataFrame:
+    """Stars without another star of the same frame closer than radius."""
+    crowded = pairs_within(stars, stars, radius, by=by).where("star_id <> r_star_id").select(*by, "star_id").distinct()
+    return stars.join(crowded, [*by, "star_id"], "left_anti")
 
 
 def away_from(stars: DataFrame, bright: DataFrame, radius: float) -> DataFrame:
@@ -105,12 +108,29 @@ def field_boxes(fields: DataFrame, half: float) -> DataFrame:
 
 
 def in_boxes(stars: DataFrame, boxes: DataFrame, band: float = 5.0) -> DataFrame:
-    """Rows of stars within any box, each once: an equi-join on declination bands, then the box."""
-    bands = F.sequence(F.floor(F.col("dec1") / band), F.floor(F.col("dec2") / band))
-    other = boxes.withColumn("band", F.explode(bands))
+    """Rows of stars within any box, each once: an equi-join on cells of the sky, then the box."""
+    steps = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / band), F.floor(F.col(b) / band)))
+    other = boxes.withColumn("band", steps("dec1", "dec2")).withColumn("cell", steps("ra1", "ra2"))
     inside = F.col("ra").between(F.col("ra1"), F.col("ra2")) & F.col("dec").between(F.col("dec1"), F.col("dec2"))
-    left = stars.withColumn("band", F.floor(F.col("dec") / band))
-    return left.join(other, (left["band"] == other["band"]) & inside, "left_semi").drop("band")
+    left = stars.withColumns({"band": F.floor(F.col("dec") / band), "cell": F.floor(F.col("ra") / band)})
+    return left.join(other, (left["band"] == other["band"]) & (left["cell"] == other["cell"]) & inside, "left_semi").drop("band", "cell")
+
+
+def in_fields(rows: DataFrame, fields: DataFrame, scale: float, size: int, band: float = 5.0) -> DataFrame:
+    """rows' columns, field_id, x, y: the rows (ra, dec) that fall on each field's image of `size` pixels of `scale`
+    degrees. A field meets the cells of the sky that its circle touches; the projection decides."""
+    n = round(360 / band)
+    reach = 0.75 * scale * size
+    f = fields.select("field_id", F.col("ra").alias("ra0"), F.col("dec").alias("dec0"))
+    far = F.abs("dec0") + reach
+    wide = F.when(far >= 89, F.lit(180.0)).otherwise(F.least(F.lit(180.0), reach / F.cos(F.radians(far))))
+    f = f.withColumn("band", F.explode(F.sequence(F.floor((F.col("dec0") - reach) / band), F.floor((F.col("dec0") + reach) / band))))
+    around = F.sequence(F.floor((F.col("ra0") - wide) / band), F.floor((F.col("ra0") + wide) / band))
+    f = f.withColumn("cell", F.explode(F.array_distinct(F.transform(around, lambda c: F.pmod(c, F.lit(n))))))
+    both = rows.drop("x", "y").withColumns({"band": F.floor(F.col("dec") / band), "cell": F.floor(F.col("ra") / band)}).join(f, ["band", "cell"])
+    x, y = fx.sky_to_pixel("ra", "dec", "ra0", "dec0", f"{scale}e0", str(size // 2), str(size // 2))
+    both = both.where(F.expr(f"{fx.angular_separation('ra', 'dec', 'ra0', 'dec0')} < 89")).withColumns({"x": F.expr(x), "y": F.expr(y)})
+    return both.where(F.col("x").between(0, size) & F.col("y").between(0, size)).drop("band", "cell", "ra0", "dec0")
 
 
 def nearest_on_sky(targets: DataFrame, stars: DataFrame, radius: float) -> DataFrame:

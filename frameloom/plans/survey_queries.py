@@ -333,13 +333,13 @@ def _(spark, d):
     return ops.nearest_dark(_of_type(spark, d, "LIGHT").select(*cols), _of_type(spark, d, "DARK").select(*cols))
 
 
-@query("match_catalogs", t.with_("sources", "stars") + """, c AS (SELECT src_id, star_id, sqrt(power(s.x - t.x, 2) + power(s.y - t.y, 2)) AS sep FROM sources s JOIN stars t ON abs(s.x - t.x) < 30 AND abs(s.y - t.y) < 30)
+@query("match_catalogs", t.with_("sources", "stars") + """, c AS (SELECT src_id, star_id, sqrt(power(s.x - t.x, 2) + power(s.y - t.y, 2)) AS sep FROM sources s JOIN stars t ON s.frame_id = t.frame_id AND abs(s.x - t.x) < 30 AND abs(s.y - t.y) < 30)
   SELECT src_id, star_id, round(sep, 6) AS sep FROM (SELECT *, row_number() OVER (PARTITION BY src_id ORDER BY sep, star_id) AS r FROM c WHERE sep < 30) WHERE r = 1""")
 def _(spark, d):
     return rounded(ops.match_nearest(t.sources(spark, d), t.stars(spark, d), 30.0), "sep")
 
 
-NEAR = "SELECT a.star_id FROM stars a JOIN stars b ON a.star_id <> b.star_id AND abs(a.x - b.x) < {r} AND abs(a.y - b.y) < {r} AND power(a.x - b.x, 2) + power(a.y - b.y, 2) < {r} * {r} {w}"
+NEAR = "SELECT a.star_id FROM stars a JOIN stars b ON a.frame_id = b.frame_id AND a.star_id <> b.star_id AND abs(a.x - b.x) < {r} AND abs(a.y - b.y) < {r} AND power(a.x - b.x, 2) + power(a.y - b.y, 2) < {r} * {r} {w}"
 
 
 @query("isolate_self", t.with_("stars") + "SELECT star_id, mag FROM stars WHERE star_id NOT IN (" + NEAR.format(r=15, w="") + ")")
@@ -394,13 +394,13 @@ def _(spark, d):
     return t.measurements(spark, d).select("frame_id", "src_id", "line").join(f, "frame_id", "left")
 
 
-@query("tile_lookup", t.with_("sources") + f""", s AS (SELECT *, {_i} AS i, {_j} AS j FROM sources), p AS (SELECT i, j, median(1 + npix / 10.0::DOUBLE) AS w FROM s WHERE (i + j) % 3 <> 0 GROUP BY ALL)
-  SELECT src_id, round(least(greatest(coalesce(w, (SELECT median(w) FROM p)), 1.5), 10), 6) + 0 AS fwhm FROM s LEFT JOIN p USING (i, j)""")
+@query("tile_lookup", t.with_("sources") + f""", s AS (SELECT *, {_i} AS i, {_j} AS j FROM sources), p AS (SELECT frame_id, i, j, median(1 + npix / 10.0::DOUBLE) AS w FROM s WHERE (i + j) % 3 <> 0 GROUP BY ALL), mid AS (SELECT frame_id, median(w) AS mid FROM p GROUP BY ALL)
+  SELECT src_id, round(least(greatest(coalesce(w, mid), 1.5), 10), 6) + 0 AS fwhm FROM s LEFT JOIN p USING (frame_id, i, j) LEFT JOIN mid USING (frame_id)""")
 def _(spark, d):
     s = t.sources(spark, d).withColumns({"i": F.expr(_i), "j": F.expr(_j)})
-    p = s.where((F.col("i") + F.col("j")) % 3 != 0).groupBy("i", "j").agg(F.median(1 + F.col("npix") / 10.0).alias("w"))
-    middle = p.agg(F.median("w").alias("mid"))  # one row
-    out = s.join(p, ["i", "j"], "left").join(F.broadcast(middle), how="cross")
+    p = s.where((F.col("i") + F.col("j")) % 3 != 0).groupBy("frame_id", "i", "j").agg(F.median(1 + F.col("npix") / 10.0).alias("w"))
+    middle = p.groupBy("frame_id").agg(F.median("w").alias("mid"))
+    out = s.join(p, ["frame_id", "i", "j"], "left").join(middle, "frame_id", "left")
     return rounded(out.select("src_id", F.least(F.greatest(F.coalesce("w", "mid"), F.lit(1.5)), F.lit(10.0)).alias("fwhm")), "fwhm")
 
 
@@ -441,10 +441,10 @@ def _(spark, d):
     return t.measurements(spark, d).where(~(F.col("aperture_sum") < 20000)).select("frame_id", "src_id", "line")
 
 
-@query("psf_tiles", t.with_("sources") + f""", s AS (SELECT {_i} AS i, {_j} AS j, 1 + npix / 10.0::DOUBLE AS w, flux FROM sources) SELECT i, j, round(avg(w), 6) + 0 AS fwhm_avg, round(median(w), 6) + 0 AS fwhm_median, round(stddev_pop(w), 6) + 0 AS fwhm_stddev, round(min(flux), 6) + 0 AS peak_min, round(max(flux), 6) + 0 AS peak_max, count(*) AS n_star FROM s WHERE w > 1.5 AND w < 8 GROUP BY ALL""")
+@query("psf_tiles", t.with_("sources") + f""", s AS (SELECT frame_id, {_i} AS i, {_j} AS j, 1 + npix / 10.0::DOUBLE AS w, flux FROM sources) SELECT frame_id, i, j, round(avg(w), 6) + 0 AS fwhm_avg, round(median(w), 6) + 0 AS fwhm_median, round(stddev_pop(w), 6) + 0 AS fwhm_stddev, round(min(flux), 6) + 0 AS peak_min, round(max(flux), 6) + 0 AS peak_max, count(*) AS n_star FROM s WHERE w > 1.5 AND w < 8 GROUP BY ALL""")
 def _(spark, d):
-    s = t.sources(spark, d).select(F.expr(_i).alias("i"), F.expr(_j).alias("j"), (1 + F.col("npix") / 10.0).alias("w"), "flux").where("w > 1.5 AND w < 8")
-    out = s.groupBy("i", "j").agg(F.avg("w").alias("fwhm_avg"), F.median("w").alias("fwhm_median"), F.stddev_pop("w").alias("fwhm_stddev"), F.min("flux").alias("peak_min"), F.max("flux").alias("peak_max"), F.count("*").alias("n_star"))
+    s = t.sources(spark, d).select("frame_id", F.expr(_i).alias("i"), F.expr(_j).alias("j"), (1 + F.col("npix") / 10.0).alias("w"), "flux").where("w > 1.5 AND w < 8")
+    out = s.groupBy("frame_id", "i", "j").agg(F.avg("w").alias("fwhm_avg"), F.median("w").alias("fwhm_median"), F.stddev_pop("w").alias("fwhm_stddev"), F.min("flux").alias("peak_min"), F.max("flux").alias("peak_max"), F.count("*").alias("n_star"))
     return rounded(out, "fwhm_avg", "fwhm_median", "fwhm_stddev", "peak_min", "peak_max")
 
 
@@ -481,10 +481,10 @@ def _(spark, d):
     return t.measurements(spark, d).withColumn("rank", F.row_number().over(order)).where("rank <= 50").select("frame_id", "src_id", "line", "rank")
 
 
-@query("top_per_tile", t.with_("sources") + f", s AS (SELECT src_id, {_i} AS i, {_j} AS j, flux FROM sources) SELECT i, j, src_id, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY i, j ORDER BY flux DESC, src_id) AS r FROM s) WHERE r <= 20")
+@query("top_per_tile", t.with_("sources") + f", s AS (SELECT frame_id, src_id, {_i} AS i, {_j} AS j, flux FROM sources) SELECT frame_id, i, j, src_id, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frame_id, i, j ORDER BY flux DESC, src_id) AS r FROM s) WHERE r <= 20")
 def _(spark, d):
-    s = t.sources(spark, d).select("src_id", F.expr(_i).alias("i"), F.expr(_j).alias("j"), "flux")
-    return ops.top_n(s, ["i", "j"], 20).select("i", "j", "src_id", "rank")
+    s = t.sources(spark, d).select("frame_id", "src_id", F.expr(_i).alias("i"), F.expr(_j).alias("j"), "flux")
+    return ops.top_n(s, ["frame_id", "i", "j"], 20).select("frame_id", "i", "j", "src_id", "rank")
 
 
 @query("union_results", t.with_("sources", "stars") + "SELECT src_id AS id, x, y, flux, NULL::DOUBLE AS mag FROM sources UNION ALL SELECT star_id, x, y, NULL, mag FROM stars")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+PER_FRAME = 4000
 TYPES = {"click": "LIGHT", "error": "BIAS", "view": "DARK", "signup": "FLAT", "purchase": "MASK"}
 
 
@@ -36,17 +37,19 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    return read(spark, sf_dir, "part").where(k < 4000).select(k.alias("src_id"), ((k * k * 31 + k * 7919) % 40961 / 10.0).alias("x"), ((k * k * 17 + k * 10473) % 40949 / 10.0).alias("y"), F.col("p_retailprice").alias("flux"), F.col("p_size").alias("npix"))
+    """PER_FRAME sources on each frame."""
+    k, m = F.col("p_partkey"), F.col("p_partkey") % PER_FRAME
+    return read(spark, sf_dir, "part").select(k.alias("src_id"), F.floor(k / PER_FRAME).alias("frame_id"), ((m * m * 31 + m * 7919) % 40961 / 10.0).alias("x"), ((m * m * 17 + m * 10473) % 40949 / 10.0).alias("y"), F.col("p_retailprice").alias("flux"), F.col("p_size").alias("npix"))
 
 
 def stars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue in pixels and on the sky."""
-    k = F.col("c_custkey")
-    return read(spark, sf_dir, "customer").where(k < 4000).select(
+    """The catalogue in pixels, PER_FRAME stars on each frame, and on the sky."""
+    k, m = F.col("c_custkey"), F.col("c_custkey") % PER_FRAME
+    return read(spark, sf_dir, "customer").select(
         k.alias("star_id"),
-        ((k * k * 13 + k * 6271) % 40961 / 10.0).alias("x"),
-        ((k * k * 29 + k * 9283) % 40949 / 10.0).alias("y"),
+        F.floor(k / PER_FRAME).alias("frame_id"),
+        ((m * m * 13 + m * 6271) % 40961 / 10.0).alias("x"),
+        ((m * m * 29 + m * 9283) % 40949 / 10.0).alias("y"),
         (12 + k % 700 / 100.0).alias("mag"),
         (k * 6271 % 36000 / 100.0).alias("ra"),
         (k * 92821 % 17000 / 100.0 - 85).alias("dec"),
@@ -55,7 +58,7 @@ def stars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
-    return read(spark, sf_dir, "supplier").where(s < 100).select(s.alias("field_id"), ((s * s * 37 + s * 1237) % 3600 / 10.0).alias("ra"), ((s * s * 11 + s * 769) % 1600 / 10.0 - 80).alias("dec"))
+    return read(spark, sf_dir, "supplier").select(s.alias("field_id"), ((s * s * 37 + s * 1237) % 3600 / 10.0).alias("ra"), ((s * s * 11 + s * 769) % 1600 / 10.0 - 80).alias("dec"))
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,16 +80,24 @@ def ephemeris(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select(k.alias("eph_id"), (F.col("o_custkey") % 100).alias("obsid"), (k * 6271 % 36000 / 100.0).alias("ra"), (k * 92821 % 17000 / 100.0 - 85).alias("dec"), (14 + k % 600 / 100.0).alias("vmag"))
 
 
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources on each frame of pixels, between pixel 2 and pixel 6."""
+    k, n = F.col("frame_id"), F.col("n")
+    rows = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("frame_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("n"))
+    return rows.select("frame_id", (k * 2 + n).alias("src_id"), (2 + (k * 7 + n * 3) % 17 * 0.25).alias("x"), (2 + (k * 5 + n * 11) % 17 * 0.25).alias("y"))
+
+
 #: The same tables for DuckDB.
 SQL = {
     "frames": "frames AS (SELECT event_id AS frame_id, 'img_' || lpad(CAST(event_id AS VARCHAR), 6, '0') || '.fits' AS file, CASE event_type "
     + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in TYPES.items())
     + " END AS imagetyp, user_id AS detector, ts AS obs_ts, epoch_us(ts) AS us, CAST(10.0 * (event_id % 4 + 1) AS DOUBLE) AS exptime, value, props FROM events)",
     "pixels": "pixels AS (SELECT frame_id, grp, CAST(i // 8 AS INTEGER) AS y, CAST(i % 8 AS INTEGER) AS x, v FROM (SELECT vec_id AS frame_id, label AS grp, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings))",
-    "sources": "sources AS (SELECT p_partkey AS src_id, ((p_partkey * p_partkey * 31 + p_partkey * 7919) % 40961) / 10.0::DOUBLE AS x, ((p_partkey * p_partkey * 17 + p_partkey * 10473) % 40949) / 10.0::DOUBLE AS y, p_retailprice AS flux, p_size AS npix FROM part WHERE p_partkey < 4000)",
-    "stars": "stars AS (SELECT c_custkey AS star_id, ((c_custkey * c_custkey * 13 + c_custkey * 6271) % 40961) / 10.0::DOUBLE AS x, ((c_custkey * c_custkey * 29 + c_custkey * 9283) % 40949) / 10.0::DOUBLE AS y, 12 + (c_custkey % 700) / 100.0::DOUBLE AS mag, (c_custkey * 6271 % 36000) / 100.0::DOUBLE AS ra, (c_custkey * 92821 % 17000) / 100.0::DOUBLE - 85 AS dec FROM customer WHERE c_custkey < 4000)",
-    "fields": "fields AS (SELECT s_suppkey AS field_id, ((s_suppkey * s_suppkey * 37 + s_suppkey * 1237) % 3600) / 10.0::DOUBLE AS ra, ((s_suppkey * s_suppkey * 11 + s_suppkey * 769) % 1600) / 10.0::DOUBLE - 80 AS dec FROM supplier WHERE s_suppkey < 100)",
+    "sources": "sources AS (SELECT k AS src_id, k // 4000 AS frame_id, ((m * m * 31 + m * 7919) % 40961) / 10.0::DOUBLE AS x, ((m * m * 17 + m * 10473) % 40949) / 10.0::DOUBLE AS y, flux, npix FROM (SELECT p_partkey AS k, p_partkey % 4000 AS m, p_retailprice AS flux, p_size AS npix FROM part))",
+    "stars": "stars AS (SELECT k AS star_id, k // 4000 AS frame_id, ((m * m * 13 + m * 6271) % 40961) / 10.0::DOUBLE AS x, ((m * m * 29 + m * 9283) % 40949) / 10.0::DOUBLE AS y, 12 + (k % 700) / 100.0::DOUBLE AS mag, (k * 6271 % 36000) / 100.0::DOUBLE AS ra, (k * 92821 % 17000) / 100.0::DOUBLE - 85 AS dec FROM (SELECT c_custkey AS k, c_custkey % 4000 AS m FROM customer))",
+    "fields": "fields AS (SELECT s_suppkey AS field_id, ((s_suppkey * s_suppkey * 37 + s_suppkey * 1237) % 3600) / 10.0::DOUBLE AS ra, ((s_suppkey * s_suppkey * 11 + s_suppkey * 769) % 1600) / 10.0::DOUBLE - 80 AS dec FROM supplier)",
     "measurements": "measurements AS (SELECT l_suppkey AS frame_id, l_orderkey AS src_id, l_linenumber AS line, l_extendedprice AS aperture_sum, l_quantity AS exptime, 1 + l_discount AS area, l_tax AS sky, 15 + (l_partkey % 300) / 100.0::DOUBLE AS cat_mag FROM lineitem)",
+    "positions": "positions AS (SELECT vec_id AS frame_id, vec_id * 2 + n AS src_id, 2 + ((vec_id * 7 + n * 3) % 17) * 0.25::DOUBLE AS x, 2 + ((vec_id * 5 + n * 11) % 17) * 0.25::DOUBLE AS y FROM embeddings, (SELECT unnest([0, 1]) AS n))",
     "ephemeris": "ephemeris AS (SELECT o_orderkey AS eph_id, o_custkey % 100 AS obsid, (o_orderkey * 6271 % 36000) / 100.0::DOUBLE AS ra, (o_orderkey * 92821 % 17000) / 100.0::DOUBLE - 85 AS dec, 14 + (o_orderkey % 600) / 100.0::DOUBLE AS vmag FROM orders)",
 }
 
