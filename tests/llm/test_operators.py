@@ -188,6 +188,20 @@ def test_line_dedup(spark):
     assert got == [(1, f"Title\n{line}"), (2, "short one"), (3, "null"), (4, ""), (5, docs[4][1]), (5, docs[4][1]), (99, "")]
 
 
+def test_line_dedup_finds_all_similar_lines(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for k in range(120):
+        line = [rng.choice(words) for _ in range(rng.randint(8, 60))]
+        near = list(line)
+        for i in rng.sample(range(len(line)), len(line) // 5):  # the most that a similarity of 0.8 allows
+            near[i] = f"{near[i]}x"
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(near))]
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 2 for i in range(240)}
+
+
 def test_classifier(spark, texts):
     junk = ["### $$$ BUY!! NOW!! *** " * 15] * 20
     good = [t for t in texts if t and len(t.split()) > 25][:40]
