@@ -202,6 +202,12 @@ def test_line_dedup_finds_all_similar_lines(spark):
     assert got == {i: i % 2 for i in range(240)}
 
 
+def test_line_dedup_removes_equal_lines_of_any_length(spark):
+    docs = [(1, "Menu\n\nTwo words\na\tb\tc\td\te\tf\n日本語の行"), (2, "menu.\n\nTwo\u00a0 words\r\na b c d\te f\n日本語の行\nlast")]
+    out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out == {1: (docs[0][1], 0), 2: ("\nlast", 4)}
+
+
 def test_classifier(spark, texts):
     junk = ["### $$$ BUY!! NOW!! *** " * 15] * 20
     good = [t for t in texts if t and len(t.split()) > 25][:40]
