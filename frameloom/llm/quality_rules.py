@@ -1,9 +1,11 @@
 """Quality rules: fixed base rules, then robust multivariate outliers per language and source.
 
 Every text becomes a vector of transformed statistics. For each (lang, source) a minimum-covariance-determinant
-estimate is found by concentration steps: rank the rows by Mahalanobis distance, keep the closest `core` share, and
-estimate centre and covariance from these. A step is one grouped sum: rows are binned by the logarithm of their distance,
-so a task sends a few hundred rows of sums for a group, however many of its rows it holds. Groups with fewer than
+estimate is found by concentration steps: rank the rows by Mahalanobis distance, keep the closest half, (n + p + 1) / 2 of
+n rows in p dimensions, and estimate centre and covariance from these, until no group's determinant falls any more. Up to
+half of a group may thus be junk. A step is one grouped sum: rows are binned by the logarithm of their distance, so a task
+sends a few hundred rows of sums for a group, however many of its rows it holds; the bin at the boundary counts with the
+share of it that is still missing, so equal rows don't enter together. Groups with fewer than
 `min_rows` rows are pooled by language, and languages with too few rows all together.
 
 Defined cases: a null or empty text has no words and fails the base rules; null lang or source is a group like any
@@ -91,18 +93,20 @@ def consistency(share: float, d: int) -> float:
     return share / chi2_cdf(chi2_quantile(share, d), d + 2)
 
 
-@pandas_udf(T.ArrayType(T.DoubleType()))
-def _inverse(n: pd.Series, sums: pd.Series, cross: pd.Series, factor: pd.Series) -> pd.Series:
-    """Upper triangle of the inverse covariance, from sums and sums of products about the group's start."""
-    out = []
-    for k, s, c, f in zip(n, sums, cross, factor, strict=True):
+@pandas_udf(T.StructType([T.StructField("inverse", T.ArrayType(T.DoubleType())), T.StructField("spread", T.DoubleType())]))
+def _inverse(n: pd.Series, sums: pd.Series, cross: pd.Series, share: pd.Series) -> pd.DataFrame:
+    """Upper triangle of the inverse covariance, and its log determinant, from sums about the group's start over the closest share."""
+    out, spread = [], []
+    for k, s, c, q in zip(n, sums, cross, share, strict=True):
         mean = np.asarray(s) / k
         cov = np.zeros((len(DIMS),) * 2)
         for (i, j), v in zip(PAIRS, c, strict=True):
             cov[i, j] = cov[j, i] = v / k - mean[i] * mean[j]
-        inv = np.linalg.inv(f * cov + np.diag(np.square(FLOOR)))
+        cov = consistency(q, len(DIMS)) * cov + np.diag(np.square(FLOOR))
+        inv = np.linalg.inv(cov)
         out.append([inv[i, j] for i, j in PAIRS])
-    return pd.Series(out)
+        spread.append(np.linalg.slogdet(cov)[1])
+    return pd.DataFrame({"inverse": out, "spread": spread})
 
 
 def _distance(centre: str = "centre", inverse: str = "inverse") -> Column:
@@ -133,8 +137,8 @@ def grouped(rows: DataFrame, min_rows: int) -> DataFrame:
     return out.withColumn("k_lang", F.when(F.col("level") < 2, F.col("lang"))).withColumn("k_source", F.when(F.col("level") == 0, F.col("source")))
 
 
-def estimates(rows: DataFrame, core: float = 0.75, steps: int = 4) -> DataFrame:
-    """centre and inverse (arrays) per group, by concentration steps and one reweighting step."""
+def estimates(rows: DataFrame, core: float = 0.5, steps: int = 30) -> DataFrame:
+    """centre and inverse (arrays) per group, by concentration steps (at most `steps`) and one reweighting step."""
     rows = rows.where("not base_failed")
     mid = [F.percentile_approx(x, 0.5, 1000).alias(x) for x in DIMS]
     start = rows.groupBy(*KEY).agg(*mid).select(*KEY, F.array(*DIMS).alias("origin"))
@@ -142,11 +146,12 @@ def estimates(rows: DataFrame, core: float = 0.75, steps: int = 4) -> DataFrame:
     gaps = [F.percentile_approx(F.abs(F.col(x) - F.col("origin")[i]), 0.5, 1000) for i, x in enumerate(DIMS)]
     spread = _with(rows, start).groupBy(*KEY).agg(F.first("origin").alias("centre"), *(g.alias(f"s{i}") for i, g in enumerate(gaps)))
     diagonal = [1 / (F.pow(F.col(f"s{i}") * 1.4826, 2) + FLOOR[i] ** 2) if i == j else F.lit(0.0) for i, j in PAIRS]
-    now = keep(spread.select(*KEY, F.col("centre").alias("origin"), "centre", F.array(*diagonal).alias("inverse")), "spread")
+    now = keep(spread.select(*KEY, F.col("centre").alias("origin"), "centre", F.array(*diagonal).alias("inverse"), F.lit(None).cast("double").alias("spread")), "spread")
     near = chi2_quantile(0.975, len(DIMS))
-    for step in range(steps + 1):
-        last = step == steps
-        at = _with(rows, now).withColumn("d2", _distance())
+    names = [f"s{i}" for i in range(len(DIMS))] + [f"c{k}" for k in range(len(PAIRS))]
+    step, last = 0, False
+    while True:
+        at = _with(rows, now.drop("spread")).withColumn("d2", _distance())
         # a sixteenth of a doubling per bin; the last step takes every row within the 97.5 % ellipsoid
         bin_ = F.when(F.col("d2") <= near, 0).otherwise(1) if last else F.floor(16 * F.log2(F.col("d2") + 1e-6)).cast("int")
         gap = [F.col(x) - F.col("origin")[i] for i, x in enumerate(DIMS)]
@@ -154,20 +159,26 @@ def estimates(rows: DataFrame, core: float = 0.75, steps: int = 4) -> DataFrame:
         bins = at.groupBy(*KEY, bin_.alias("bin")).agg(F.first("origin").alias("origin"), F.count("*").alias("n"), *sums)
         whole, upto = Window.partitionBy(*KEY), Window.partitionBy(*KEY).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         if last:
-            bins = bins.where("bin = 0")
+            bins = bins.where("bin = 0").withColumns({"share": F.lit(0.975), "weight": F.lit(1.0)})
         else:
-            seen = {"before": F.coalesce(F.sum("n").over(upto), F.lit(0)), "all": F.sum("n").over(whole)}
-            bins = bins.withColumns(seen).where(F.col("before") < core * F.col("all"))
-        names = [f"s{i}" for i in range(len(DIMS))] + [f"c{k}" for k in range(len(PAIRS))]
-        total = bins.groupBy(*KEY).agg(F.first("origin").alias("origin"), F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in names))
-        arrays = total.select(*KEY, "origin", "n", F.array(*names[: len(DIMS)]).alias("sums"), F.array(*names[len(DIMS) :]).alias("cross"))
-        factor = F.lit(consistency(0.975 if last else core, len(DIMS)))
+            bins = bins.withColumns({"before": F.coalesce(F.sum("n").over(upto), F.lit(0)), "all": F.sum("n").over(whole)})
+            need = F.least(F.col("all"), F.greatest(F.floor((F.col("all") + len(DIMS) + 1) / 2), F.ceil(core * F.col("all"))))
+            bins = bins.withColumn("need", need).where("before < need")
+            bins = bins.withColumns({"share": F.least(F.col("need") / F.col("all"), F.lit(0.999)), "weight": F.least(F.lit(1.0), (F.col("need") - F.col("before")) / F.col("n"))})
+        total = bins.groupBy(*KEY).agg(F.first("origin").alias("origin"), F.first("share").alias("share"), F.sum(F.col("n") * F.col("weight")).alias("n"), *(F.sum(F.col(c) * F.col("weight")).alias(c) for c in names))
+        arrays = total.select(*KEY, "origin", "n", "share", F.array(*names[: len(DIMS)]).alias("sums"), F.array(*names[len(DIMS) :]).alias("cross"))
         centre = F.zip_with("origin", "sums", lambda o, s: o + s / F.col("n"))
-        now = keep(arrays.select(*KEY, "origin", centre.alias("centre"), _inverse("n", "sums", "cross", factor).alias("inverse")), "estimate")
-    return now.select(*KEY, "centre", "inverse")
+        new = arrays.select(*KEY, "origin", centre.alias("centre"), _inverse("n", "sums", "cross", "share").alias("got"))
+        new = keep(new.select(*KEY, "origin", "centre", "got.inverse", "got.spread"), "estimate")
+        if last:
+            return new.select(*KEY, "centre", "inverse")
+        step += 1
+        falls = _with(new, now.select(*KEY, F.col("spread").alias("was"))).where("was IS NULL OR spread < was - 1e-3")
+        last = step >= steps or falls.isEmpty()
+        now = new
 
 
-def quality_rules(docs: DataFrame, min_rows: int = 200, core: float = 0.75, tail: float = 1e-7) -> DataFrame:
+def quality_rules(docs: DataFrame, min_rows: int = 200, core: float = 0.5, tail: float = 1e-7) -> DataFrame:
     """One row per document: its counts, base_failed, distance2 (squared Mahalanobis) and kept.
 
     tail: the share of normal rows that may be rejected; the cut-off is the chi-squared quantile at 1 - tail.

@@ -99,6 +99,16 @@ def test_quality_rules(spark, texts):
         assert r["base_failed"] == (len(w) < 20 or 100 * len(repeat) > 30 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
+def test_quality_rules_with_a_third_of_junk_copies(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    junk = " ".join(f"{w} ##$$ %%&&" for w in words[:60])
+    docs = [" ".join(rng.choice(words) for _ in range(rng.randint(40, 200))) for _ in range(264)] + [junk] * 136
+    rows = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(docs)], "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in quality_rules.quality_rules(rows).where("kept").collect()}
+    assert kept == set(range(264))
+
+
 def test_chi2():
     assert abs(quality_rules.chi2_quantile(0.95, 5) - 11.0705) < 1e-3
 
