@@ -45,22 +45,49 @@ def nearest_dark(left: DataFrame, masters: DataFrame) -> DataFrame:
 
 
 def stack(pixels: DataFrame, keys: list[str], k: float) -> DataFrame:
-    """Median of each pixel over the frames within k robust deviations of their median."""
-    rows = pixels.groupBy(*keys).agg(F.collect_list("v").alias("vs"), F.median("v").alias("m"))
-    rows = rows.withColumn("d", F.expr("transform(vs, x -> abs(x - m))"))
-    middle = lambda a: f"(element_at(array_sort({a}), cast((size({a}) + 1) div 2 AS int)) + element_at(array_sort({a}), cast((size({a}) + 2) div 2 AS int))) / 2"
-    rows = rows.withColumn("s", F.expr(f"1.4826 * {middle('d')}"))
-    rows = rows.withColumn("kept", F.expr(f"filter(vs, x -> abs(x - m) <= {k} * s)"))
+    """Median of each pixel over the frames within k robust deviations of their median.
+
+    n is how many frames have a value, n_kept how many stay; a pixel that is null or NaN in all frames stays null. The values of a
+    pixel meet in one array, so a group of `keys` is to be the frames of one master, not an archive. The deviations are sorted in a step of their
+    own: SQL's optimiser would otherwise sort them again for every value that they are compared with.
+    """
+    rows = pixels.select(*keys, F.nanvl(F.col("v").cast("double"), F.lit(None)).alias("v")).groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    middle = lambda a: f"CASE WHEN size({a}) > 0 THEN ({a}[cast((size({a}) - 1) div 2 AS int)] + {a}[cast(size({a}) div 2 AS int)]) / 2 END"
+    # an explode of one element keeps what it holds from being worked out again in what follows
+    once = lambda df, name, value: df.withColumn(name, F.explode(F.array(value)))
+    rows = once(rows, "m", F.expr(middle("vs")))
+    rows = once(rows, "d", F.expr("array_sort(transform(vs, x -> abs(x - m)))"))
+    rows = once(rows, "s", F.expr(f"1.4826 * {middle('d')}"))
+    rows = once(rows, "kept", F.expr(f"filter(vs, x -> abs(x - m) <= {k} * s)"))
     return rows.select(*keys, F.expr(middle("kept")).alias("v"), F.size("vs").alias("n"), F.size("kept").alias("n_kept"))
 
 
-def sigma_clip(df: DataFrame, keys: list[str], col: str, k: float = 3.0, rounds: int = 5) -> DataFrame:
-    """The rows that stay within k population deviations of the median, over some rounds. A group's centre and spread are
-    joined to its rows, so that groups may be as large as a frame."""
+def clip_bounds(df: DataFrame, keys: list[str], col: str, k: float, rounds: int) -> DataFrame:
+    """keys, lo and hi of each group after some rounds of clipping, from one sorted array of a group's values."""
+    values = df.where(F.col(col).isNotNull() & ~F.isnan(col)).groupBy(*keys).agg(F.sort_array(F.collect_list(F.col(col).cast("double"))).alias("vs"))
+    once = lambda rows, name, value: rows.withColumn(name, F.explode(F.array(value)))
+    rows = values.select(*keys, "vs", F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
     for _ in range(rounds):
-        facts = df.groupBy(*keys).agg(F.median(col).alias("_m"), F.stddev_pop(col).alias("_s"))
-        df = df.join(facts, keys).where(F.abs(F.col(col) - F.col("_m")) <= k * F.col("_s")).drop("_m", "_s")
-    return df
+        rows = once(rows, "kept", F.expr("filter(vs, x -> x >= lo AND x <= hi)"))
+        middle = "(kept[cast((size(kept) - 1) div 2 AS int)] + kept[cast(size(kept) div 2 AS int)]) / 2"
+        rows = once(rows, "m", F.expr(f"CASE WHEN size(kept) > 0 THEN {middle} END"))
+        mean = "aggregate(kept, 0D, (a, x) -> a + (x - m)) / size(kept)"
+        square = "aggregate(kept, 0D, (a, x) -> a + (x - m) * (x - m)) / size(kept)"
+        rows = once(rows, "s", F.expr(f"CASE WHEN size(kept) > 0 THEN sqrt(greatest({square} - ({mean}) * ({mean}), 0D)) END"))
+        # the next round's values lie within both rounds' bounds
+        rows = once(rows, "bounds", F.expr(f"named_struct('lo', greatest(lo, m - {k} * s), 'hi', least(hi, m + {k} * s))"))
+        rows = rows.select(*keys, "vs", "bounds.lo", "bounds.hi")
+    return rows.drop("vs")
+
+
+def sigma_clip(df: DataFrame, keys: list[str], col: str, k: float = 3.0, rounds: int = 5) -> DataFrame:
+    """The rows that stay within k population deviations of the median, over some rounds.
+
+    Null and NaN values go; so does a group of such values only. Every round only narrows an interval, so the rounds are worked out on the
+    sorted values of each group, and the rows read a second time to be held against the last bounds.
+    """
+    bounds = clip_bounds(df, keys, col, k, rounds).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+    return df.join(bounds, keys).where((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))).drop("_lo", "_hi")
 
 
 def cells(df: DataFrame, size: float, around: bool = False) -> DataFrame:

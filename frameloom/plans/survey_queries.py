@@ -288,12 +288,6 @@ def _(spark, d):
     return rounded(ops.stack(px.join(scale, "frame_id").select("grp", "y", "x", (F.col("v") * F.col("s")).alias("v")), ["grp", "y", "x"], 3), "v")
 
 
-@query("background_mesh", t.with_("pixels") + "SELECT frame_id, CAST(y // 4 AS INT) AS j, CAST(x // 4 AS INT) AS i, round(median(v), 6) + 0 AS level, round(stddev_pop(v), 6) + 0 AS rms FROM pixels GROUP BY ALL")
-def _(spark, d):
-    px = t.pixels(spark, d).groupBy("frame_id", F.expr("cast(y div 4 AS int)").alias("j"), F.expr("cast(x div 4 AS int)").alias("i"))
-    return rounded(px.agg(F.median("v").alias("level"), F.stddev_pop("v").alias("rms")), "level", "rms")
-
-
 @query("mask_outliers", t.with_("pixels") + ", b AS (SELECT frame_id, median(v) AS m, stddev_pop(v) AS s FROM pixels GROUP BY ALL) SELECT frame_id, y, x, round(CASE WHEN abs(v - m) <= 2 * s THEN v END, 6) + 0 AS v FROM pixels JOIN b USING (frame_id)")
 def _(spark, d):
     px = t.pixels(spark, d)
