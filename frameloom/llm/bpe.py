@@ -3,7 +3,8 @@
 A pre-token's symbols form a doubly linked list; adjacent pairs that have a merge wait in a priority queue by rank, then
 place. Popped entries whose symbols have changed since are stale and skipped. Pre-tokens are cut by numpy for many
 texts at once and each different one is merged once per Python worker (a bounded book); texts with characters beyond
-the ranges that are cut there, or with special tokens, are cut by a general pattern and merged in the same way.
+the ranges that are cut there are cut by the file's own normaliser and pattern, as the tokenizers library reads them, so that
+letters and digits are those of its version of Unicode; their pre-tokens are merged in the same way.
 Decoding concatenates the vocabulary's strings, with a blank between them, as the file names no decoder.
 
 Defined cases: null or empty texts have no ids and decode to an empty text; null or repeated ids and repeated rows are
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
+from functools import cached_property
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,14 @@ from pyspark.sql import types as T
 from .common import text_chunks
 from .pretok import LIMIT, Codebook, code_points, cut
 
-WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CUT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+")
 LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else LIMIT for c in range(LIMIT)] + [LIMIT], np.uint32)
 LOWER = np.where(LOWER < LIMIT, LOWER, LIMIT).astype(np.int64)
 
 
+#: How many pre-tokens with rare characters a worker remembers.
+KNOWN = 100_000
+
+
 def byte_characters() -> list[str]:
     """The character that stands for each byte: printable Latin-1 ones for themselves, the others from 256 on."""
     own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -47,6 +50,7 @@ def byte_characters() -> list[str]:
 
 class Vocabulary:
     def __init__(self, path: str):
+        self.path, self.known = path, {}
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
@@ -61,11 +65,20 @@ class Vocabulary:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.vocab[a] << 20 | self.vocab[b]] = (rank, self.vocab[a + b])
         chars = byte_characters()
+        self.byte_of = {c: b for b, c in enumerate(chars)}
         self.inner = [self.vocab.get(c) for c in chars]
         self.last = [self.vocab.get(c + self.end) for c in chars]
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.book = Codebook(self.encode_words)
 
+    @cached_property
+    def cutter(self) -> tuple:
+        """The file's normaliser and pre-tokenizer."""
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(self.path)
+        return tok.normalizer, tok.pre_tokenizer
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         return [self.merge(w.encode("utf-8")) for w in words]
 
@@ -108,10 +121,14 @@ class Vocabulary:
             if part in self.special:
                 out.append(self.special[part])
                 continue
-            part = unicodedata.normalize("NFC", part)
-            part = "".join(c.lower() for c in part)
-            for word in CUT.findall(part):
-                out += self.merge(word.encode("utf-8"))
+            normaliser, pieces = self.cutter
+            for word, _ in pieces.pre_tokenize_str(normaliser.normalize_str(part)):
+                ids = self.known.get(word)
+                if ids is None:
+                    if len(self.known) >= KNOWN:
+                        self.known.clear()
+                    ids = self.known[word] = self.merge(bytes(self.byte_of[c] for c in word))
+                out += ids
         return out
 
 
@@ -170,13 +187,19 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "decoded",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = pa.array(vocabulary(path).strings)
-        for batch in batches:
-            lists = batch.column(ids_col)
-            ends = lists.offsets
-            text = pc.binary_join(pa.ListArray.from_arrays(ends, strings.take(lists.values)), " ")
-            if lists.null_count:
-                text = pc.if_else(lists.is_valid(), text, None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, text_col])
+        for whole in batches:
+            ends = whole.column(ids_col).offsets.to_numpy()
+            lo = 0
+            while lo < whole.num_rows:  # rows of about a quarter of a million ids at a time
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + (1 << 18), "right")) - 1)
+                batch = whole.slice(lo, hi - lo)
+                lists, lo = batch.column(ids_col), hi
+                at = lists.offsets.to_numpy()
+                first, last = int(at[0]), int(at[-1])
+                text = pc.binary_join(pa.ListArray.from_arrays(pa.array(at - first), strings.take(lists.values.slice(first, last - first))), " ")
+                if lists.null_count:
+                    text = pc.if_else(lists.is_valid(), text, None)
+                yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, text_col])
 
     rest = encoded.drop(text_col)
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(text_col, T.StringType())]))

@@ -8,7 +8,7 @@ path's mean, its own share left out.
 
 Defined cases: null or empty texts have zero statistics and are judged by these; null hosts and paths are sites of
 their own; several labels of an id count as their mean, rounded; labels without a document are ignored; without
-labels of both kinds every document is kept; repeated rows are judged row by row; an empty table gives an empty result.
+labels of both kinds every document is kept; columns with the names of added ones are replaced, all others pass; repeated rows are judged row by row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,22 +32,22 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _EXCLAIM[list(b"!?")] = True
 
 
-def measured(docs: DataFrame, text_col: str = "text", with_text: bool = True) -> DataFrame:
-    """docs (without its text, if not wanted) and the counts of every whole text."""
-    rest = docs if with_text else docs.drop(text_col)
+def measured(rows: DataFrame, with_text: bool) -> DataFrame:
+    """rows (without its column text, if not wanted) and the counts of every whole text."""
+    rest = rows if with_text else rows.drop("text")
     names = rest.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = batch.select(names)
-            for i, j, raw, off in text_chunks(batch.column(text_col)):
+            for i, j, raw, off in text_chunks(batch.column("text")):
                 w = Words(raw, off)
                 first = (raw & 0xC0) != 0x80
                 got = [w.count(), w.per_text(first & ~w.space), w.per_text(_SYMBOL[raw]), w.per_text((raw >= 65) & (raw <= 90)), w.repeated_words(8), w.repeated_lines(), w.per_text(_EXCLAIM[raw])]
                 yield pa.RecordBatch.from_arrays([*kept.slice(i, j - i).columns, *(pa.array(g, pa.int64()) for g in got)], names=[*names, *COUNTS])
 
     fields = [*rest.schema.fields, *(T.StructField(c, T.LongType()) for c in COUNTS)]
-    return docs.mapInArrow(run, T.StructType(fields))
+    return rows.mapInArrow(run, T.StructType(fields))
 
 
 def bins() -> dict[str, Column]:
@@ -126,20 +126,20 @@ def site_model(rows: DataFrame, model: dict) -> tuple[DataFrame, float]:
 
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, with_text: bool = True) -> DataFrame:
     """The rows of docs, and evidence, site (shrunk mean of the path without the row itself), posterior, accepted."""
-    named = docs.withColumns({"_host": host, "_path": path})
-    slim = measured(named.select(F.col(id_col).alias("id"), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col(text_col).cast("string").alias("text")), with_text=False)
-    rows = keep(slim, "counts").withColumns(bins())
+    # the user's columns go by number, so that no name can clash
+    own = {c: f"u{i}" for i, c in enumerate(docs.columns) if c != text_col}
+    named = docs.select(*(F.col(f"`{c}`").alias(u) for c, u in own.items()), F.col(f"`{id_col}`").alias("id"), host.alias("host"), path.alias("path"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = keep(measured(named, with_text), "counts").withColumns(bins())
     model = evidence_model(rows, labels)
     sites, kp = site_model(rows, model)
-    full = measured(named.withColumn(text_col, F.col(text_col).cast("string")), text_col, with_text)
-    out = full.join(sites, F.col("_host").eqNullSafe(F.col("of_host")) & F.col("_path").eqNullSafe(F.col("of_path")), "left")
-    out = out.withColumn("evidence", evidence(model)).withColumn("_p", sigmoid(F.col("evidence")))
-    out = out.withColumn("site", (F.col("site_s") - F.col("_p") + kp * F.col("site_prior")) / (F.col("site_n") - 1 + kp))
+    out = rows.join(sites, F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path")), "left")
+    out = out.withColumn("evidence", evidence(model)).withColumn("own_p", sigmoid(F.col("evidence")))
+    out = out.withColumn("site", (F.col("site_s") - F.col("own_p") + kp * F.col("site_prior")) / (F.col("site_n") - 1 + kp))
     out = out.withColumn("posterior", sigmoid(F.col("evidence") + logit(F.col("site"))))
-    accepted = F.lit(True) if not model else F.col("posterior") >= threshold
-    out = out.withColumn("accepted", accepted)
-    base = [c for c in docs.columns if c != text_col or with_text]
-    return out.select(*(F.col(c) for c in base if c not in ("evidence", "site", "posterior", "accepted")), "evidence", "site", "posterior", "accepted")
+    out = out.withColumn("accepted", F.lit(True) if not model else F.col("posterior") >= threshold)
+    added = ("evidence", "site", "posterior", "accepted")
+    base = [F.col("text" if c == text_col else own[c]).alias(c) for c in docs.columns if c not in added and (c != text_col or with_text)]
+    return out.select(*base, *added)
 
 
 def sites_of(docs: DataFrame) -> tuple[Column, Column]:

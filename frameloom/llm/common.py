@@ -12,9 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_kept: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/frameloom-checkpoints"
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all run here."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"file://{tempfile.gettempdir()}/frameloom-checkpoints"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that were written so far; results that read them can't be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _kept:
+        path = jvm.org.apache.hadoop.fs.Path(_kept.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -25,11 +41,12 @@ def keep(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, name)
     schema = df.schema
+    _kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def text_chunks(column: pa.Array | pa.ChunkedArray, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array | pa.ChunkedArray, most: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about `most` bytes: first row, last row + 1, their UTF-8 bytes, and offsets into those.
 
     Null is an empty text. A text is never cut, so a run may be as long as the longest text.

@@ -36,17 +36,32 @@ WORDS = {
     "secret": "token|secret|key|password",
 }
 NEAR, RAISE, LEAST = 40, 0.3, 0.6
-SPAN = "array<struct<start:int,`end`:int,t:string>>"
+SPAN = "array<struct<start:int,`end`:int,t:string,before:string>>"
+
+
+RUN = 64
+
+
+def _running(count: str, start: str, out: str, step: str, tail: str = "element_at(runs, -1).tail") -> str:
+    """SQL for what a running state gives out over i = 0 to count - 1: `step` takes (a, i) to the next state.
+
+    A state is a pos, a tail and what was given out; `start` is the first pos and tail, and `tail` what a run (k, after runs) begins with. Items are gathered in runs of RUN, so that no
+    long array is copied for every item.
+    """
+    run = f"""aggregate(sequence(k * {RUN}, least((k + 1) * {RUN}, {count}) - 1),
+      named_struct('pos', element_at(runs, -1).pos, 'tail', {tail}, 'out', cast(array() AS {out})), (a, i) -> {step})"""
+    return f"""CASE WHEN {count} = 0 THEN cast(array() AS {out}) ELSE aggregate(sequence(0, cast((({count}) - 1) div {RUN} AS int)),
+      array(named_struct({start}, 'out', cast(array() AS {out}))), (runs, k) -> concat(runs, array({run})), runs -> flatten(transform(runs, r -> r.out))) END"""
 
 
 def _places(matches: str, between: str) -> Column:
-    """Spans of the matches: a running sum of the lengths of what lies before, and of the matches."""
-    return F.expr(f"""
-      CASE WHEN size({matches}) = 0 THEN cast(array() AS {SPAN}) ELSE
-      aggregate(sequence(0, size({matches}) - 1), named_struct('pos', 0, 'out', cast(array() AS {SPAN})),
-        (a, i) -> named_struct('pos', a.pos + length({between}[i]) + length({matches}[i]), 'out', concat(a.out,
-          array(named_struct('start', a.pos + length({between}[i]), 'end', a.pos + length({between}[i]) + length({matches}[i]), 't', {matches}[i])))),
-        a -> a.out) END""")
+    """Spans of the matches, and the NEAR characters before each: a running sum of the lengths of what lies before, and of the matches."""
+    begin = f"a.pos + length({between}[i])"
+    end = f"{begin} + length({matches}[i])"
+    before = f"right(concat(a.tail, right({between}[i], {NEAR})), {NEAR})"
+    tail = f"right(concat(a.tail, right({between}[i], {NEAR}), right({matches}[i], {NEAR})), {NEAR})"
+    step = f"named_struct('pos', {end}, 'tail', {tail}, 'out', concat(a.out, array(named_struct('start', {begin}, 'end', {end}, 't', {matches}[i], 'before', {before}))))"
+    return F.expr(_running(f"size({matches})", "'pos', 0, 'tail', ''", SPAN, step))
 
 
 def luhn(t: str) -> str:
@@ -66,7 +81,9 @@ def mod97(t: str) -> str:
 
 def find_spans(docs: DataFrame, text_col: str = "text", least: float = LEAST) -> DataFrame:
     """Add `pii`: array of (start, ord, kind, end, score) by start then kind, and `n_base` spans of base kinds in it."""
-    df = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    # the user's columns go through in a struct, so that no name can clash
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("pii", "n_base")]
+    df = docs.select(F.struct(*own).alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     for name, pattern in PATTERNS.items():
         hit = F.col("_text").contains(HINTS.get(name, ""))
         df = df.withColumn(f"_m_{name}", F.when(hit, F.regexp_extract_all("_text", F.lit(f"({pattern})"), 1)).otherwise(F.array().cast("array<string>")))
@@ -87,23 +104,27 @@ def find_spans(docs: DataFrame, text_col: str = "text", least: float = LEAST) ->
     from_ = {k: f"_s_{k}" for k in ("email", "ip", "card", "phone")} | {"iban": "concat(_s_token, _s_spaced)", "secret": "_s_token"}
     parts = []
     for n, kind in enumerate(KINDS):
-        context = f"lower(substr(_text, greatest(s.start - {NEAR}, 0) + 1, least(s.start, {NEAR})))"
-        score = f"cast({SCORES[kind]} AS double) + CASE WHEN {context} RLIKE '{WORDS[kind]}' THEN cast({RAISE} AS double) ELSE 0D END"
+        score = f"cast({SCORES[kind]} AS double) + CASE WHEN lower(s.before) RLIKE '{WORDS[kind]}' THEN cast({RAISE} AS double) ELSE 0D END"
         parts.append(f"transform(filter({from_[kind]}, s -> {tests[kind]}), s -> named_struct('start', s.start, 'ord', {n}, 'kind', '{kind}', 'end', s.`end`, 'score', {score}))")
     spans = f"array_sort(filter(concat({', '.join(parts)}), s -> s.ord < 4 OR s.score >= {least}))"
     df = df.withColumn("pii", F.expr(spans)).withColumn("n_base", F.expr("size(filter(pii, s -> s.ord < 4))"))
-    return df.drop("_text", *(f"_{x}_{name}" for x in "mbs" for name in PATTERNS))
+    return df.select("row.*", "pii", "n_base")
 
 
 def redact(docs: DataFrame, text_col: str = "text", least: float = LEAST) -> DataFrame:
     """Put [KIND] in place of every span; of overlapping spans the first one names the place. Null text stays null."""
     found = find_spans(docs, text_col, least)
     text = f"`{text_col}`"
-    new = f"""CASE WHEN size(pii) = 0 OR {text} IS NULL THEN {text} ELSE aggregate(pii, named_struct('pos', 0, 'out', ''),
-      (a, s) -> named_struct('pos', greatest(a.pos, s.`end`), 'out', CASE WHEN s.start >= a.pos
-        THEN concat(a.out, substr({text}, a.pos + 1, s.start - a.pos), '[', upper(s.kind), ']') ELSE a.out END),
-      a -> concat(a.out, substr({text}, a.pos + 1))) END"""
-    return found.withColumn(text_col, F.expr(new)).select(*docs.columns)
+    # what stands before a span and its mark; of spans that overlap the first one only
+    begin = "element_at(runs, -1).pos"
+    part = f"substr({text}, {begin} + 1, greatest(pii[least((k + 1) * {RUN}, size(pii)) - 1].start - {begin}, 0))"  # all that a run's spans need
+    before = f"substr(a.tail, a.pos - {begin} + 1, pii[i].start - a.pos)"
+    step = f"""named_struct('pos', greatest(a.pos, pii[i].`end`), 'tail', a.tail, 'out', CASE WHEN pii[i].start >= a.pos
+      THEN concat(a.out, array(concat({before}, '[', upper(pii[i].kind), ']'))) ELSE a.out END)"""
+    parts = _running("size(pii)", "'pos', 0, 'tail', ''", "array<string>", step, part)
+    new = f"CASE WHEN size(pii) = 0 OR {text} IS NULL THEN {text} ELSE concat(array_join({parts}, ''), substr({text}, array_max(transform(pii, s -> s.`end`)) + 1)) END"
+    rest = {c: F.col(f"`{c}`") for c in docs.columns if c not in ("pii", "n_base")}
+    return found.select(*(F.expr(new).alias(c) if c == text_col else col for c, col in rest.items()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

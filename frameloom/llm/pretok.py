@@ -12,11 +12,10 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .textkit import U, mix, powers
+from .textkit import range_hash
 
 LETTER, DIGIT, SPACE, OTHER, UNKNOWN = range(5)
 LIMIT = 0x2800
-_values = np.random.PCG64(4242).random_raw(LIMIT + 1)
 #: Second letters of contractions that are a pre-token of their own, and the pairs of letters.
 ONE, TWO = "stmd", ("re", "ve", "ll")
 
@@ -97,16 +96,13 @@ def cut(points: np.ndarray, off: np.ndarray, spaces: bool, lower: np.ndarray | N
         at, end, text = at[ink], end[ink], text[ink]
     ok = plain[text]
     at, end, text = at[ok], end[ok], text[ok]
-    up, down = powers(n)
-    sums = np.zeros(n + 1, U)
-    np.cumsum(_values[small] * up, out=sums[1:])
-    return at, end, text, mix((sums[end] - sums[at]) * down[at] + (end - at).astype(U)), plain
+    return at, end, text, range_hash(small, at, end), plain
 
 
 class Codebook:
     """What is known of each pre-token so far, by hash; cleared when it holds `most` of them, so memory is bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 500_000):
         self.encode, self.most = encode, most
         self.clear()
 
