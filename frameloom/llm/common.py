@@ -25,12 +25,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{tempfile.gettempdir()}/frameloom-checkpoints"
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete the tables that were written so far; results that read them can't be used any more."""
+def kept() -> list[str]:
+    """The tables that were written so far and not deleted."""
+    return list(_kept)
+
+
+def clear(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables; results that read them can't be used any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _kept:
-        path = jvm.org.apache.hadoop.fs.Path(_kept.pop())
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        if name in _kept:
+            _kept.remove(name)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
