@@ -1,23 +1,48 @@
 """A corpus pipeline of five stages: quality, repeated lines, near duplicates, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept, and returns the columns of
-documents (the last one: pieces). Defined cases are those of the operators; besides: a group of near duplicates keeps
-its smallest id, rows with a null id stay, and of rows that share an id one stays once ids repeat.
+documents (the last one: pieces). Defined cases are those of the operators; besides: a group of near duplicates keeps its
+smallest id (null ids come last), of rows that agree in id and text one stays, and different texts of one id are different
+documents. Stages may be called on their own: a stage deletes the intermediate tables of the stage called before it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.llm.classifier import classify, sites_of
-from frameloom.llm.common import keep, sized
+from frameloom.llm.common import clear, fresh_path, keep, kept, sized
 from frameloom.llm.line_dedup import line_dedup
 from frameloom.llm.ngram_join import ngram_groups
 from frameloom.llm.packing import pack
 from frameloom.llm.pii import redact
 
 
+_last: list[str] = []
+
+
+def stage(first: bool = False) -> Callable:
+    """A stage begins when the one before it is written, so that one's intermediate tables are deleted then."""
+
+    def around(work: Callable) -> Callable:
+        @wraps(work)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            if not first:
+                clear(spark, _last)
+            before = set(kept())
+            out = work(spark, docs, sf_dir)
+            _last[:] = [x for x in kept() if x not in before]
+            return out
+
+        return run_stage
+
+    return around
+
+
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     """n_chars follows the text."""
     if "n_chars" in columns:
@@ -25,42 +50,58 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
+@stage(first=True)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classify(docs, labels, *sites_of(docs)).where("accepted").select(*docs.columns)
 
 
+@stage()
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _measured(line_dedup(docs), docs.columns)
 
 
+@stage()
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = keep(ngram_groups(docs, width=5, num=80), "groups")
-    gone = sized(keep(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone"))
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id")
-    repeated = ids.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if repeated:
-        left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
+    # rows are told apart by id and text, as ids may repeat or be null; equal rows are one
+    key = F.xxhash64(F.col("doc_id"), F.col("text"))
+    groups = keep(ngram_groups(docs.select(key.alias("key"), "text"), id_col="key", width=5, num=80), "groups")
+    ids = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("id"), F.length("text").alias("size"))
+    linked = groups.where("n_shingles > 0").select("key", "component_id").distinct()
+    large = keep(linked.groupBy("component_id").count().where("count > 1").select("component_id"), "large")
+    members = keep(linked.join(sized(large), "component_id").join(ids.distinct(), "key"), "members")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("m"))
+    gone = members.join(first, "component_id").where("key <> m.key").select(F.col("key").alias("_gone")).distinct()
+    gone = sized(keep(gone, "gone"))
+    left = docs.withColumn("_key", key).join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    again = keep(left.groupBy("_key").count().where("count > 1").select(F.col("_key").alias("_again")), "again")
+    if not again.isEmpty():
+        twice = sized(again)
+        one = left.join(twice, F.col("_key") == F.col("_again"), "left_semi").dropDuplicates(["_key"])
+        left = left.join(twice, F.col("_key") == F.col("_again"), "left_anti").unionByName(one)
     return left.select(*docs.columns)
 
 
+@stage()
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _measured(redact(docs), docs.columns)
 
 
+@stage()
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("private", private), ("packed", packed)]
-ORACLE_SQL = None  # SimHash, minimum encodings and packing plans are beyond SQL
+ORACLE_SQL = None  # fuzzy lines, minimum encodings and packing plans are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for n, (name, work) in enumerate(STAGES):
+        docs = work(spark, docs, sf_dir)
         if n + 1 < len(STAGES):
-            docs = keep(docs, name)
+            path, schema = fresh_path(spark, name), docs.schema
+            docs.write.parquet(path)
+            docs = spark.read.schema(schema).parquet(path)
     return docs
