@@ -17,10 +17,13 @@ SOURCE = ["frame_id", "src_id"]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage, in the folder of spark.checkpoint.dir (a temporary one only where it is unset)."""
+    """Cut the lineage, in the folder of spark.checkpoint.dir (a temporary one where it is unset and all runs on this machine)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 

@@ -33,6 +33,16 @@ def nearest_in_time(left: DataFrame, masters: DataFrame, by: tuple[str, ...] = (
     return near.select("frame_id", F.when(earlier, F.col("a.master_id")).otherwise(F.col("b.master_id")).alias("master_id"))
 
 
+def lv1_name(file: str, ra: str, dec: str, exptime: str, obs_ts: str) -> Column:
+    """The name of a corrected frame, from its centre (rounded half to even), exposure and time; with any of these null, one made
+    from the file's own name."""
+    whole = lambda c: F.bround(c).cast("int")
+    sign = F.when(whole(dec) >= 0, "p").otherwise("n")
+    name = F.format_string("kl4040.sci.lv1.%03d.%s%02d.%03d.%s.fits", whole(ra), sign, F.abs(whole(dec)), whole(exptime), F.date_format(obs_ts, "yyyyMMddHHmmss"))
+    known = F.col(ra).isNotNull() & F.col(dec).isNotNull() & F.col(exptime).isNotNull() & F.col(obs_ts).isNotNull()
+    return F.when(known, name).otherwise(F.concat(F.regexp_replace(file, "[.]fits$", ""), F.lit(".lv1.fits")))
+
+
 def nearest_dark(left: DataFrame, masters: DataFrame) -> DataFrame:
     """frame_id, master_id, exp_gap: of the detector's masters with the closest exposure (the shorter one on ties), the
     one nearest in time. Only a detector's distinct exposures, which are few, are compared with each other."""

@@ -78,10 +78,13 @@ def _(spark, d):
     return t.frames(spark, d).select("frame_id", F.regexp_replace(name, "[.]fits([.]bz2)?$", "").alias("stem"))
 
 
-@query("lv1_name", t.with_("stars") + "SELECT star_id, printf('kl4040.sci.lv1.%03d.%s%02d', CAST(round_even(ra, 0) AS INT), CASE WHEN dec >= 0 THEN 'p' ELSE 'n' END, CAST(abs(round_even(dec, 0)) AS INT)) AS name FROM stars")
+@query("lv1_name", t.with_("frames", "stars") + """SELECT f.frame_id, CASE WHEN ra IS NULL THEN regexp_replace(file, '[.]fits$', '') || '.lv1.fits' ELSE
+  printf('kl4040.sci.lv1.%03d.%s%02d.%03d.', CAST(round_even(ra, 0) AS INT), CASE WHEN round_even(dec, 0) >= 0 THEN 'p' ELSE 'n' END, CAST(abs(round_even(dec, 0)) AS INT), CAST(round_even(exptime, 0) AS INT)) || strftime(obs_ts, '%Y%m%d%H%M%S') || '.fits' END AS name
+  FROM frames f LEFT JOIN stars s ON f.frame_id = s.star_id""")
 def _(spark, d):
-    sign = F.when(F.col("dec") >= 0, "p").otherwise("n")
-    return t.stars(spark, d).select("star_id", F.format_string("kl4040.sci.lv1.%03d.%s%02d", F.bround("ra").cast("int"), sign, F.abs(F.bround("dec")).cast("int")).alias("name"))
+    """Stars stand for the centres of frames; a frame without one gets the default name."""
+    at = t.stars(spark, d).select(F.col("star_id").alias("frame_id"), "ra", "dec")
+    return t.frames(spark, d).join(at, "frame_id", "left").select("frame_id", ops.lv1_name("file", "ra", "dec", "exptime", "obs_ts").alias("name"))
 
 
 @query("master_name", t.with_("frames") + "SELECT frame_id, 'kl4040.' || CASE imagetyp WHEN 'BIAS' THEN 'bias' WHEN 'DARK' THEN 'dark.' || CAST(round_even(exptime, 0) AS INT) || 's' ELSE 'flat.CLEAR' END || '.comb.' || strftime(obs_ts, '%Y%m%d') AS name FROM frames")
