@@ -260,3 +260,99 @@ def test_digest_columns(spark, tmp_path):
     spark.createDataFrame([(1, "Hello World"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     r = {x["doc_id"]: x for x in bpe.query(spark, str(tmp_path)).collect()}
     assert r[2]["n_tokens"] == 0 and r[2]["ids_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_line_dedup_recall_and_precision(spark):
+    """All pairs of a mixed table against brute force: 6 to 200 words, 1 to 20 % of the words changed, put in or left out."""
+    rng = random.Random(15)
+    words = ["".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randint(2, 9))) for _ in range(1500)]
+    rows = []
+    for k in range(100):
+        line = [rng.choice(words) for _ in range(rng.randint(6, 200))]
+        near = list(line)
+        for _ in range(max(1, int(len(line) * rng.uniform(0.01, 0.2)))):
+            i = rng.randrange(len(near))
+            near[i : i + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 1)
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(near))]
+
+    def close(a: list[str], b: list[str]) -> bool:
+        before = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(now[-1] + 1, before[j] + 1, before[j - 1] + (x != y)))
+            before = now
+        return before[-1] <= int(max(len(a), len(b)) * 0.2 + 1e-6)
+
+    lines = [text.split() for _, text in rows]
+    true = {j for j in range(len(lines)) for i in range(j) if abs(len(lines[i]) - len(lines[j])) <= 40 and (i == j - 1 or len(set(lines[i]) & set(lines[j])) > 3) and close(lines[i], lines[j])}
+    got = {r["doc_id"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["n_removed"]}
+    assert got <= true and len(got) >= 0.99 * len(true) and len(true) > 60
+
+
+def test_runs_without_bytes(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    for texts in ([None], [""], ["a long text of many words " * 60_000, None]):
+        docs = table(spark, texts).repartition(len(texts))
+        assert quality_rules.quality_rules(docs).count() == len(texts)
+        assert classifier.classify(docs, labels, F.col("source"), F.col("lang")).count() == len(texts)
+
+
+def test_words_of_equal_structure_are_told_apart(spark):
+    a = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    docs = table(spark, [a, b, f"{a} {b} {a}", f"{b} {a} {b}"])
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tok.no_truncation()
+    for r in bpe.encode(docs.select("doc_id", "text")).join(docs.select("doc_id", "text"), "doc_id").collect():
+        assert r["ids"] == tok.encode(r["text"], add_special_tokens=False).ids
+    assert len({r["component_id"] for r in ngram_join.ngram_groups(docs).collect()}) == 4
+
+
+def test_bpe_rare_code_points(spark):
+    texts = [f"x{chr(c)}y {chr(c)}1" for c in [0x558, 0xCDC, 0x208F, 0x10940, 0x1F600, 0x4E00, 0x130, 0x1E9E, *range(0x370, 0x600, 7)]]
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tok.no_truncation()
+    for r in bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert r["ids"] == tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+
+
+def test_columns_with_clashing_names(spark):
+    docs = table(spark, ["mail a@b.co and more words here", None, ""])
+    extra = ["key", "of", "row", "drop", "parts", "u0", "u1", "site_n", "of_host", "c_words", "_text", "id", "host", "path"]
+    docs = docs.select("doc_id", "text", "lang", "source", *(F.col("doc_id").alias(c) for c in extra))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    for out in (line_dedup.line_dedup(docs), pii.find_spans(docs), pii.redact(docs), classifier.classify(docs, labels, F.col("source"), F.col("lang"))):
+        rows = out.collect()
+        assert len(rows) == 3 and all(r[c] == r["doc_id"] for r in rows for c in extra)
+
+
+def test_spans_of_texts_with_many_matches(spark):
+    n = 5000
+    r = pii.redact(spark.createDataFrame([(1, "write a@b.co now " * n)], "doc_id long, text string")).first()
+    assert r["text"] == "write [EMAIL] now " * n
+
+
+def test_classifier_on_held_out_labels(spark):
+    """The evidence of half of the labels judges the other half."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = classifier.classify(docs, labels.where("doc_id % 2 = 0"), *classifier.sites_of(docs), with_text=False)
+    held = out.join(labels.where("doc_id % 2 = 1"), "doc_id").select("quality", "accepted").collect()
+    good, bad = [r["accepted"] for r in held if r["quality"]], [r["accepted"] for r in held if not r["quality"]]
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad) and bad
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    rows = [(1, "a b c d e f g h i j", "en", "s", 20), (1, "a b c d e f g h i j", "en", "s", 20), (1, "quite another text of one id with many words", "en", "s", 20)]
+    rows += [(None, "a b c d e f g h i j", "en", "s", 20), (2, None, None, None, None), (3, "", "x", "y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, work in corpus_pipeline.STAGES[1:]:
+        out = work(spark, docs, "")
+        assert work(spark, docs.limit(0), "").count() == 0
+        if name == "near_duplicates":
+            assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out.collect()) == [(1, rows[0][1]), (1, rows[2][1]), (2, ""), (3, "")]
+        elif name != "packed":
+            assert out.columns == docs.columns and out.count() == len(rows)
