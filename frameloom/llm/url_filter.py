@@ -1,16 +1,18 @@
 """URL filter: host and path rules, then a character language-model ratio for the rest.
 
-Two variable-order Markov models are trained on the URLs that rules allow and block. A URL is written in 40 symbols
-(letters, one for all digits, punctuation, one for the rest), so a model has at most 40 + 40^2 + 40^3 + 40^4 counts
-however many URLs there are, and can be sent to all tasks. A symbol's probability blends the orders: each context
-trusts its own counts by the Witten-Bell rule and leaves the rest to the next shorter one. The verdict comes from the
-mean log-likelihood difference per symbol. It is calibrated on held-out rule URLs: models of one half of the rule URLs
+Two variable-order Markov models are trained on the URLs that rules allow and block: counts of a byte after every context of
+0 to 6 bytes, gathered from all of them by grouped aggregation into written tables, which grow with the input. A byte's
+probability blends the orders: each context trusts its own counts by the Witten-Bell rule and leaves the rest to the next
+shorter one. It is worked out once for each different window of seven bytes, and joined to the URLs that hold the window:
+windows with 1/65536 of all places or more (65,536 at most, so they can be sent to all tasks) by broadcast, others by a
+shuffle. URLs that are equal without their scheme, query and fragment are scored once. The verdict comes from the mean
+log-likelihood difference per byte. It is calibrated on held-out rule URLs: models of one half of the rule URLs
 score the other half, and the threshold is where the sum of both error rates is least; a URL must fall below it by
 `margin` standard deviations of the allowed ones to be blocked. Host labels and the path take part, not the scheme.
 
 Defined cases: null URLs, and those without "://", have an empty host and path; an empty URL, like any URL while one of
 the models has no URLs, is allowed; repeated rows are judged alike; an empty table gives an empty result; a null id
-stays null; other columns are ignored.
+stays null; other columns are ignored. URLs are told apart by 64-bit hashes (two different ones agree with a chance of 2^-64).
 """
 
 from __future__ import annotations
@@ -19,15 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import keep, text_chunks
+
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MARKS = "./-_?=&%:+~"
-SYMBOLS = 40  # start, end or other, digit, 26 letters, 11 marks
-ORDER = 4
+WIDTH = 7  # bytes of a window: one and the six before it
+START, END = 255, 254  # bytes that UTF-8 never holds
+SYMBOLS = 257
+HOT = 1 << 16
+VERDICTS = ("allow", "block")
+MODELS = [f"{v}{f}" for v in VERDICTS for f in (0, 1, 2)]  # of either half of the rule URLs, and of both
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -48,122 +55,118 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def symbols(column: pa.Array) -> list[np.ndarray]:
-    """The symbol codes of each string, with the start symbol before and the end symbol after it."""
-    table = np.full(256, 1, np.uint8)
-    table[ord("0") : ord("9") + 1] = 2
-    for i, c in enumerate(LOWER):
-        table[ord(c)] = table[ord(c.upper())] = 3 + i
-    for i, c in enumerate(MARKS):
-        table[ord(c)] = 29 + i
-    return [np.concatenate([[0] * (ORDER - 1), table[np.frombuffer((s or "").encode(), np.uint8)], [1]]) for s in column.to_pylist()]
-
-
-def grams(codes: list[np.ndarray]) -> np.ndarray:
-    """The numbers of all windows of ORDER symbols; a symbol with the ORDER - 1 before it."""
-    out = []
-    for c in codes:
-        n = len(c) - ORDER + 1
-        g = np.zeros(n, np.int64)
-        for k in range(ORDER):
-            g = g * SYMBOLS + c[k : n + k]
-        out.append(g)
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-
-class Markov:
-    """Blended probabilities of all symbols after all contexts, from counts of windows."""
-
-    def __init__(self, counts: np.ndarray):
-        table = counts.reshape((SYMBOLS,) * ORDER).astype(np.float32)
-        p = np.full(SYMBOLS, 1 / SYMBOLS, np.float32)
-        for order in range(1, ORDER + 1):
-            c = table.sum(axis=tuple(range(ORDER - order))) if order < ORDER else table
-            total, kinds = c.sum(-1, keepdims=True), (c > 0).sum(-1, keepdims=True)
-            trust = total / np.maximum(total + kinds, 1)
-            p = trust * c / np.maximum(total, 1) + (1 - trust) * p  # p broadcasts over the longer context
-        self.log = np.log(p).ravel()
-
-
-def sparse(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The windows that occur and their counts, which are far fewer than the table's places."""
-    g = np.flatnonzero(counts)
-    return g.astype(np.int32), counts[g].astype(np.float32)
-
-
-def dense(pair: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    return np.bincount(pair[0], pair[1], SYMBOLS**ORDER)
-
-
-def count_grams(labelled: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """Window counts per (verdict, fold). Tasks send their own counts, at most one row per window that they saw."""
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[str, int], np.ndarray] = {}
-        for batch in batches:
-            verdict, fold = np.array(batch.column("verdict").to_pylist()), batch.column("fold").to_numpy()
-            codes = symbols(batch.column("text"))
-            for key in {*zip(verdict.tolist(), fold.tolist(), strict=True)}:
-                at = np.flatnonzero((verdict == key[0]) & (fold == key[1]))
-                seen[key] = seen.get(key, 0) + np.bincount(grams([codes[i] for i in at]), minlength=SYMBOLS**ORDER)
-        for (v, f), c in seen.items():
-            g = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([v] * len(g)), pa.array(np.full(len(g), f, np.int32)), pa.array(g), pa.array(c[g].astype(np.int64))], names=["verdict", "fold", "gram", "n"])
-
-    rows = labelled.mapInArrow(local, "verdict string, fold int, gram long, n long").groupBy("verdict", "fold", "gram").agg(F.sum("n").alias("n")).toArrow()
-    verdict, fold = np.array(rows.column("verdict").to_pylist(), dtype=object), rows.column("fold").to_numpy()
-    out = {}
-    for v in ("allow", "block"):
-        for f in (0, 1):
-            at = (verdict == v) & (fold == f) if len(verdict) else []
-            out[v, f] = np.bincount(rows.column("gram").to_numpy()[at], rows.column("n").to_numpy()[at], SYMBOLS**ORDER)
-    return out
-
-
-def scores(df: DataFrame, models: list) -> DataFrame:
-    """Add `score`: the mean log-likelihood difference per symbol; a row's `fold` names the pair of models."""
+def windows(texts: DataFrame) -> DataFrame:
+    """Put `windows` in place of `text`: for each of its bytes and the end, that byte and the six before it as one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [Markov(dense(m.value[0])).log - Markov(dense(m.value[1])).log for m in models]
         for batch in batches:
-            fold = batch.column("fold").to_numpy()
-            got = [float(tables[f][grams([c])].mean()) for c, f in zip(symbols(batch.column("text")), fold, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], names=[*batch.schema.names, "score"])
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())]))
+            for i, j, raw, off in text_chunks(batch.column("text")):
+                size = np.diff(off)
+                lead = np.arange(len(size)) * WIDTH + WIDTH - 1
+                line = np.full(len(raw) + WIDTH * len(size), START, np.int64)
+                line[np.arange(len(raw)) + np.repeat(lead, size)] = raw
+                line[off[1:] + lead] = END
+                # windows begin everywhere but at the last WIDTH - 1 bytes of a text's run
+                at = np.arange(len(raw) + len(size)) + np.repeat(np.arange(len(size)) * (WIDTH - 1), size + 1)
+                code = np.zeros(len(at), np.int64)
+                for k in range(WIDTH):
+                    code = (code << 8) | line[at + k]
+                lists = pa.LargeListArray.from_arrays(pa.array(off + np.arange(len(off))), pa.array(code)).cast(pa.list_(pa.int64()))
+                part = batch.slice(i, j - i).drop_columns("text")
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "windows"])
+
+    fields = [f for f in texts.schema.fields if f.name != "text"]
+    return texts.select(*(f.name for f in fields), "text").mapInArrow(run, T.StructType([*fields, T.StructField("windows", T.ArrayType(T.LongType()))]))
+
+
+def count_windows(texts: DataFrame) -> DataFrame:
+    """gram, uses (URLs' places that hold it), and its count in each model's training rows."""
+    each = texts.select("verdict", "fold", "n", F.explode("windows").alias("gram"))
+    count = lambda v, f: F.sum(F.when((F.col("verdict") == v) & (F.col("fold") == f), F.col("n")).otherwise(0)).alias(f"{v}{f}")
+    return each.groupBy("gram").agg(F.count("*").alias("uses"), *(count(v, f) for v in VERDICTS for f in (0, 1)))
+
+
+def blended(counts: DataFrame) -> DataFrame:
+    """gram, uses, and the logarithm of the probability of its last byte after the others by each of MODELS."""
+    names = [f"{v}{f}" for v in VERDICTS for f in (0, 1)]
+    levels = {WIDTH: counts}
+    for k in range(WIDTH - 1, 0, -1):
+        short = F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")
+        levels[k] = keep(levels[k + 1].groupBy(short).agg(*(F.sum(c).alias(c) for c in names)), f"windows{k}")
+    shorter = None
+    for k in range(1, WIDTH + 1):
+        rows = levels[k]
+        for v in VERDICTS:
+            rows = rows.withColumn(f"{v}2", F.col(f"{v}0") + F.col(f"{v}1"))
+        # a context has 258 followers at most
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        rows = rows.withColumns({f"{m}_all": F.sum(m).over(context) for m in MODELS} | {f"{m}_kinds": F.count_if(F.col(m) > 0).over(context) for m in MODELS})
+        if shorter is None:
+            rows = rows.withColumns({f"{m}_less": F.lit(1 / SYMBOLS) for m in MODELS})
+        else:
+            less = shorter.select(F.col("gram").alias("less"), *(F.col(f"{m}_p").alias(f"{m}_less") for m in MODELS))
+            rows = rows.join(less, F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)) == F.col("less"))
+        # trust in a context's own counts is all / (all + kinds)
+        p = lambda m: (F.col(m) + F.col(f"{m}_kinds") * F.col(f"{m}_less")) / (F.col(f"{m}_all") + F.col(f"{m}_kinds"))
+        p_or_less = lambda m: F.when(F.col(f"{m}_all") > 0, p(m)).otherwise(F.col(f"{m}_less"))
+        uses = ["uses"] if k == WIDTH else []
+        shorter = keep(rows.select("gram", *uses, *(p_or_less(m).alias(f"{m}_p") for m in MODELS)), f"model{k}")
+    return shorter.select("gram", "uses", *(F.log(f"{m}_p").alias(m) for m in MODELS))
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, uses: str) -> DataFrame:
+    """rows joined with table on key, each key once in table; keys with 1/65536 of all uses or more by broadcast."""
+    total = table.agg(F.sum(uses)).first()[0] or 0
+    often = F.col(uses) * HOT >= total
+    few, many = F.broadcast(table.where(often)), table.where(~often)
+    cold = rows.join(few.select(key), key, "left_anti").join(many, key)
+    return rows.join(few, key).unionByName(cold)
+
+
+def scored(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """key, verdict, n, score of each URL: by the other half's models if a rule decides on it, else by those of all."""
+    ratio = [F.round(F.col(f"{VERDICTS[0]}{f}") - F.col(f"{VERDICTS[1]}{f}"), 12) for f in (1, 0, 2)]
+    model = keep(model.select("gram", "uses", F.array(*ratio).alias("ratio")), "ratios")
+    each = texts.select("key", F.when(F.col("verdict").isNull(), 2).otherwise(F.col("fold")).alias("by"), F.explode("windows").alias("gram"))
+    each = hot_join(each, model, "gram", "uses").select("key", F.get("ratio", F.col("by")).cast("decimal(30,12)").alias("ratio"))
+    # sums of decimals don't depend on their order
+    score = each.groupBy("key").agg((F.sum("ratio").cast("double") / F.count("*")).alias("score"))
+    return keep(texts.select("key", "verdict", "n").join(score, "key"), "scores")
+
+
+def threshold(labelled: DataFrame, margin: float) -> float:
+    """Where the sum of both error rates is least, from the counts of rule URLs in score bins of 1/100."""
+    bins = labelled.groupBy("verdict", F.floor(F.col("score") * 100).cast("int").alias("bin")).agg(F.sum("n").alias("n")).collect()
+    lo = min(r["bin"] for r in bins)
+    size = max(r["bin"] for r in bins) - lo + 2
+    hist = {v: np.zeros(size) for v in VERDICTS}
+    for r in bins:
+        hist[r["verdict"]][r["bin"] - lo] += r["n"]
+    rate = {v: np.concatenate([[0], np.cumsum(h)]) / max(h.sum(), 1) for v, h in hist.items()}
+    error = rate["allow"] + 1 - rate["block"]
+    best = np.flatnonzero(error <= error.min() + 1e-12)
+    centre = (lo + np.arange(size) + 0.5) / 100
+    mean = (hist["allow"] * centre).sum() / max(hist["allow"].sum(), 1)
+    spread = np.sqrt((hist["allow"] * (centre - mean) ** 2).sum() / max(hist["allow"].sum(), 1))
+    return float((lo + best[len(best) // 2]) / 100 - margin * spread)
 
 
 def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, margin: float = 0.0) -> DataFrame:
     """One row per row of pages: id, host, path, rule, verdict, score (null where a rule decides)."""
-    spark = pages.sparkSession
     host, path = host_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "by_rule": verdict, "text": F.concat("host", "path")})
-    labelled = rows.where("rule IS NOT NULL").select(F.col("by_rule").alias("verdict"), F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"), "text")
-    counts = count_grams(labelled)
-    whole = {v: counts[v, 0] + counts[v, 1] for v in ("allow", "block")}
-    judged = rows.withColumn("fold", F.lit(0))
-    if min(whole["allow"].sum(), whole["block"].sum()) == 0:
-        judged = judged.withColumn("score", F.lit(None).cast("double")).withColumn("own", F.lit("allow"))
+    rows = rows.withColumns({"rule": name, "by_rule": verdict, "key": F.xxhash64(F.concat("host", "path"))})
+    texts = rows.groupBy("key").agg(F.first("by_rule").alias("verdict"), F.first(F.concat("host", "path")).alias("text"), F.count("*").alias("n"))
+    texts = keep(windows(texts.withColumn("fold", F.pmod("key", F.lit(2)).cast("int"))), "urls")
+    sums = {r["verdict"]: r["count"] for r in texts.where("verdict IS NOT NULL").groupBy("verdict").count().collect()}
+    if len(sums) < 2:
+        judged = rows.withColumn("score", F.lit(None).cast("double")).withColumn("own", F.lit("allow"))
     else:
-        # models of the other fold score the held-out rule URLs; their scores are counted in bins of 1/100
-        held = [spark.sparkContext.broadcast((sparse(counts["allow", 1 - f]), sparse(counts["block", 1 - f]))) for f in (0, 1)]
-        bins = scores(labelled, held).groupBy("verdict", F.floor(F.col("score") * 100).cast("int").alias("bin")).count().collect()
-        lo = min(r["bin"] for r in bins)
-        n = max(r["bin"] for r in bins) - lo + 2
-        hist = {v: np.zeros(n) for v in ("allow", "block")}
-        for r in bins:
-            hist[r["verdict"]][r["bin"] - lo] += r["count"]
-        rate = {v: np.concatenate([[0], np.cumsum(h)]) / max(h.sum(), 1) for v, h in hist.items()}
-        error = rate["allow"] + 1 - rate["block"]
-        best = np.flatnonzero(error <= error.min() + 1e-12)
-        centre = (lo + np.arange(n) + 0.5) / 100
-        mean = (hist["allow"] * centre).sum() / max(hist["allow"].sum(), 1)
-        spread = np.sqrt((hist["allow"] * (centre - mean) ** 2).sum() / max(hist["allow"].sum(), 1))
-        threshold = (lo + best[len(best) // 2]) / 100 - margin * spread
-        judged = scores(judged.select("id", "host", "path", "rule", "by_rule", "text", "fold"), [spark.sparkContext.broadcast((sparse(whole["allow"]), sparse(whole["block"])))])
-        judged = judged.withColumn("own", F.when((F.col("score") < F.lit(float(threshold))) & (F.length("text") > 0), "block").otherwise("allow"))
+        scores = scored(texts, blended(keep(count_windows(texts), "windows")))
+        least = threshold(scores.where("verdict IS NOT NULL"), margin)
+        judged = hot_join(rows, scores.select("key", "n", "score"), "key", "n")
+        judged = judged.withColumn("own", F.when((F.col("score") < F.lit(least)) & (F.length(F.concat("host", "path")) > 0), "block").otherwise("allow"))
     score = F.when(F.col("rule").isNull(), F.col("score")).alias("score")
     return judged.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", "own").alias("verdict"), score)
 

@@ -1,5 +1,6 @@
 """The numbered operators against brute force, libraries and round trips, with awkward rows."""
 
+import collections
 import hashlib
 import random
 import re
@@ -135,10 +136,53 @@ def test_url_filter(spark):
     assert empty.count() == 0
 
 
-def test_markov_sums_to_one():
-    counts = np.bincount(url_filter.grams(url_filter.symbols(__import__("pyarrow").array(["a.com/b", "b.com/c1"]))), minlength=url_filter.SYMBOLS**url_filter.ORDER)
-    p = np.exp(url_filter.Markov(counts).log.astype(float)).reshape(-1, url_filter.SYMBOLS)
-    assert np.allclose(p.sum(1), 1, atol=1e-4)
+def plain_verdicts(rows):
+    """{text: (score, verdict of the models)} by plain counting. rows: (text, verdict of a rule or None, fold)."""
+    def contexts(text):
+        code = [255] * 6 + list(text.encode()) + [254]
+        return [(tuple(code[i - 6 : i]), code[i]) for i in range(6, len(code))]
+
+    def train(verdict, folds):
+        seen = {}
+        for text, v, f in rows:
+            if v == verdict and f in folds:
+                for c, s in contexts(text):
+                    for k in range(7):
+                        seen.setdefault(c[6 - k :], collections.Counter())[s] += 1
+        return seen
+
+    def score(text, allow, block):
+        total = 0.0
+        for c, s in contexts(text):
+            p = [1 / 257, 1 / 257]
+            for k in range(7):
+                for m, seen in enumerate((allow, block)):
+                    if n := seen.get(c[6 - k :]):
+                        p[m] = (n[s] + len(n) * p[m]) / (n.total() + len(n))
+            total += np.log(p[0]) - np.log(p[1])
+        return total / (len(text.encode()) + 1)
+
+    models = [(train("allow", f), train("block", f)) for f in ((1,), (0,), (0, 1))]
+    scores = {t: score(t, *models[2 if v is None else f]) for t, v, f in {*rows}}
+    held = [(np.floor(scores[t] * 100), v) for t, v, _ in rows if v]
+    edges = np.arange(min(b for b, _ in held), max(b for b, _ in held) + 2)
+    share = lambda v, test: np.mean([test(b) for b, w in held if w == v])
+    error = [share("allow", lambda b, e=e: b < e) + share("block", lambda b, e=e: b >= e) for e in edges]
+    best = np.flatnonzero(np.array(error) <= min(error) + 1e-12)
+    least = edges[best[len(best) // 2]] / 100
+    return {t: (x, "block" if x < least and t else "allow") for t, x in scores.items()}
+
+
+def test_url_models_by_plain_counting(spark):
+    urls = [r["url"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect()]
+    urls += urls[:20] + [urls[3]] * 90 + [None, "", "x://é.fr/ü", "x://long.net/" + "ab/" * 60000]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").repartition(3)
+    got = url_filter.url_filter(pages).withColumn("text", F.concat("host", "path")).withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2))).collect()
+    assert sorted(r["page_id"] for r in got) == [*range(len(urls))]
+    want = plain_verdicts([(r["text"], r["verdict"] if r["rule"] else None, r["fold"]) for r in got])
+    free = [r for r in got if r["rule"] is None]
+    assert len(free) > 50 and {r["verdict"] for r in free} == {"allow", "block"}
+    assert all(abs(r["score"] - want[r["text"]][0]) < 1e-9 and r["verdict"] == want[r["text"]][1] for r in free)
 
 
 def test_warc(spark):
