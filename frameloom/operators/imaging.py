@@ -3,30 +3,17 @@ x, y; pixel centres are whole numbers). Groups are a frame, a tile of it or the
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import formulas as fx
-from .survey import pairs_within, sigma_clip
+from .survey import checkpointed, pairs_within, sigma_clip
 
 SOURCE = ["frame_id", "src_id"]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage, in the folder of spark.checkpoint.dir (a temporary one where it is unset and all runs on this machine)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
 def apertures(pixels: DataFrame, positions: DataFrame, radius: float) -> DataFrame:
     """frame_id, src_id, px, py, v, share: the pixels that a circle about each position touches, and the area it covers."""
     near = pairs_within(pixels.select("frame_id", "x", "y", "v"), positions.select(*SOURCE, "x", "y"), radius + 0.70711, closed=True)
@@ -117,23 +104,42 @@ def source_mask(pixels: DataFrame, labelled: DataFrame, cell: int = 64) -> DataF
 
 
 def stamps(pixels: DataFrame, positions: DataFrame, half: int = 1) -> DataFrame:
-    """frame_id, src_id, dy, dx, v: the pixels about each position above their smallest one, with sum 1. Stamps that the
-    border cuts are left out."""
+    """frame_id, src_id, dy, dx, v, peak: the pixels about each position above their smallest one, with sum 1, and the largest
+    pixel as it was. Stamps that the border cuts are left out."""
     around = F.explode(F.sequence(F.lit(-half), F.lit(half)))
     at = positions.select(*SOURCE, F.round("x").cast("int").alias("cx"), F.round("y").cast("int").alias("cy")).withColumn("dx", around).withColumn("dy", around)
     at = at.withColumns({"x": F.col("cx") + F.col("dx"), "y": F.col("cy") + F.col("dy")})
     rows = at.join(pixels.select("frame_id", "y", "x", "v"), ["frame_id", "y", "x"])
-    facts = rows.groupBy(*SOURCE).agg(F.min("v").alias("low"), F.sum("v").alias("all"), F.count("*").alias("n")).where(F.col("n") == (2 * half + 1) ** 2)
+    facts = rows.groupBy(*SOURCE).agg(F.min("v").alias("low"), F.max("v").alias("peak"), F.sum("v").alias("all"), F.count("*").alias("n")).where(F.col("n") == (2 * half + 1) ** 2)
     value = F.try_divide(F.col("v") - F.col("low"), F.col("all") - F.col("n") * F.col("low"))
-    return rows.join(facts, SOURCE).select(*SOURCE, "dy", "dx", value.alias("v"))
+    return rows.join(facts, SOURCE).select(*SOURCE, "dy", "dx", value.alias("v"), "peak")
 
 
 def star_width(stamp: DataFrame) -> DataFrame:
-    """frame_id, src_id, fwhm: 2.3548 times the geometric mean of the two second moments' roots."""
+    """frame_id, src_id, fwhm, theta, peak: 2.3548 times the geometric mean of the two second moments' roots, and the angle
+    of the long axis from x in degrees."""
     moment = lambda e: F.sum(F.col("v") * e)
-    m = stamp.groupBy(*SOURCE).agg(*(moment(F.col(c) ** p).alias(f"{c}{p}") for c in ("dx", "dy") for p in (1, 2)))
-    spread = lambda c: F.sqrt(F.greatest(F.col(f"{c}2") - F.col(f"{c}1") ** 2, F.lit(0.0)))
-    return m.select(*SOURCE, (2.3548 * F.sqrt(spread("dx") * spread("dy"))).alias("fwhm"))
+    m = stamp.groupBy(*SOURCE).agg(*(moment(F.col(c) ** p).alias(f"{c}{p}") for c in ("dx", "dy") for p in (1, 2)), moment(F.col("dx") * F.col("dy")).alias("dxy"), F.max("peak").alias("peak"))
+    variance = lambda c: F.col(f"{c}2") - F.col(f"{c}1") ** 2
+    spread = lambda c: F.sqrt(F.greatest(variance(c), F.lit(0.0)))
+    theta = F.degrees(F.atan2(2 * (F.col("dxy") - F.col("dx1") * F.col("dy1")), variance("dx") - variance("dy"))) / 2
+    return m.select(*SOURCE, (2.3548 * F.sqrt(spread("dx") * spread("dy"))).alias("fwhm"), theta.alias("theta"), "peak")
+
+
+def psf_map(pixels: DataFrame, positions: DataFrame, tile: int, half: int = 1, least: float = 1.5, most: float = 8.0) -> DataFrame:
+    """A row per frame and tile of tile x tile pixels: frame_id, j, i, the tile's centre, widths, angle and peaks of its stars of
+    a width between least and most, and psf: their median stamp as an array of (dy, dx, v). Tiles without such a star are
+    left out, as are stars without a width (flat or cut stamps)."""
+    at = positions.select(*SOURCE, F.floor(F.col("y") / tile).cast("int").alias("j"), F.floor(F.col("x") / tile).cast("int").alias("i"))
+    cut = stamps(pixels, positions, half)
+    good = star_width(cut).where((F.col("fwhm") > least) & (F.col("fwhm") < most)).join(at, SOURCE)
+    key = ["frame_id", "j", "i"]
+    facts = good.groupBy(*key).agg(
+        F.avg("fwhm").alias("fwhm_avg"), F.median("fwhm").alias("fwhm_median"), F.stddev_pop("fwhm").alias("fwhm_stddev"),
+        F.avg("theta").alias("theta_avg"), F.min("peak").alias("peak_min"), F.max("peak").alias("peak_max"), F.count("*").alias("n_star"))
+    middle = cut.join(good.select(*SOURCE, "j", "i"), SOURCE).groupBy(*key, "dy", "dx").agg(F.median("v").alias("v"))
+    psf = middle.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("dy", "dx", "v"))).alias("psf"))
+    return facts.join(psf, key).withColumns({f"{c}_center": (F.col(k) + 0.5) * tile for c, k in (("x", "i"), ("y", "j"))})
 
 
 def background(pixels: DataFrame, box: int, k: float = 3.0, rounds: int = 5) -> DataFrame:
@@ -163,13 +169,16 @@ def background_level(pixels: DataFrame, mesh: DataFrame, box: int) -> DataFrame:
     return both.groupBy("frame_id", "y", "x", "v").agg((F.sum(F.col("w") * F.col("level")) / F.sum("w")).alias("bg"))
 
 
-def bad_pixels(ratio: DataFrame, keys: list[str], k: float) -> DataFrame:
-    """keys, y, x, residual, bad: v against the median and deviation of the pixel and its eight neighbours."""
-    near = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+def bad_pixels(ratio: DataFrame, keys: list[str], k: float = 9.0, half: int = 3, box: int = 15) -> DataFrame:
+    """keys, y, x, residual, bad: v against the median of the pixels within half of it in y and x (fewer at the border), and
+    that residual against k times the middle spread (from 30.9 to 69.1 %, one deviation of a normal) of its box x box tile."""
+    near = F.explode(F.sequence(F.lit(-half), F.lit(half)))
     spread = ratio.withColumn("a", near).withColumn("b", near).select(*keys, (F.col("y") + F.col("a")).alias("y"), (F.col("x") + F.col("b")).alias("x"), F.col("v").alias("other"))
-    local = spread.groupBy(*keys, "y", "x").agg(F.median("other").alias("m"), F.stddev_pop("other").alias("s"))
-    rows = ratio.join(local, [*keys, "y", "x"]).withColumn("residual", F.col("v") - F.col("m"))
-    return rows.select(*keys, "y", "x", "residual", (F.abs("residual") > k * F.col("s")).alias("bad"))
+    local = spread.groupBy(*keys, "y", "x").agg(F.median("other").alias("m"))
+    tile = [F.floor(F.col(c) / box).alias(f"tile_{c}") for c in "yx"]
+    rows = ratio.join(local, [*keys, "y", "x"]).select(*keys, "y", "x", (F.col("v") - F.col("m")).alias("residual"), *tile)
+    wide = rows.groupBy(*keys, "tile_y", "tile_x").agg((F.percentile("residual", 0.691) - F.percentile("residual", 0.309)).alias("s"))
+    return rows.join(wide, [*keys, "tile_y", "tile_x"]).select(*keys, "y", "x", "residual", (F.abs("residual") > k * F.col("s")).alias("bad"))
 
 
 def merge_boxes(boxes: DataFrame, band: float = 5.0) -> DataFrame:

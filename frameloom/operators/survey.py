@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import formulas as fx
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage, in the folder of spark.checkpoint.dir (a temporary one where it is unset and all runs on this machine)."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def nearest_in_time(left: DataFrame, masters: DataFrame, by: tuple[str, ...] = ("detector",), block: int = 86_400_000_000) -> DataFrame:
     """frame_id, master_id: of the masters that agree in `by`, the nearest in time, the earlier one on ties, then the
     smaller id. Both tables need frame_id, us and the columns of `by`. Times are cut into blocks, and a block gets the last master
@@ -170,7 +183,7 @@ def in_fields(rows: DataFrame, fields: DataFrame, scale: float, size: int, band:
     return both.where(F.col("x").between(0, size) & F.col("y").between(0, size)).drop("band", "cell", "ra0", "dec0")
 
 
-def nearest_on_sky(targets: DataFrame, stars: DataFrame, radius: float) -> DataFrame:
+def nearest_within(targets: DataFrame, stars: DataFrame, radius: float) -> DataFrame:
     """eph_id, star_id, dist (arc seconds) of the nearest star within radius degrees: bands of declination, and in each
     band cells of right ascension as wide as the radius is at its widest parallel."""
     band = F.floor((F.col("dec") + 90) / radius)
@@ -186,6 +199,20 @@ def nearest_on_sky(targets: DataFrame, stars: DataFrame, radius: float) -> DataF
     return best.select("eph_id", F.col("b.star_id").alias("star_id"), (F.col("b.d") * 3600).alias("dist"))
 
 
+def nearest_on_sky(targets: DataFrame, stars: DataFrame, radius: float) -> DataFrame:
+    """eph_id, star_id, dist (arc seconds) of the nearest star: within radius degrees first, then four times as far for those
+    that found none, and so on to the whole sky, so that only an empty catalogue (or a null position) leaves a target out."""
+    left, found = targets.select("eph_id", "ra", "dec").where("ra IS NOT NULL AND dec IS NOT NULL"), None
+    while True:
+        # each round's pairs are written, as the next one reads them twice
+        best = checkpointed(nearest_within(left, stars, radius))
+        found = best if found is None else found.unionByName(best)
+        left = checkpointed(left.join(best.select("eph_id"), "eph_id", "left_anti"))
+        if radius >= 180 or left.isEmpty():
+            return found
+        radius = min(radius * 4, 180.0)
+
+
 def photometry(m: DataFrame, gain: float = 18.69, bkg_std: float = 0.05, n_sky: int = 100) -> DataFrame:
     """Net flux, error, signal to noise, instrumental magnitude and flag of each aperture sum."""
     net = F.col("aperture_sum") - F.col("area") * F.col("sky")

@@ -84,7 +84,20 @@ def _(spark, d):
 
 @query("star_width", t.with_("pixels", "positions") + f", {STAMP}, m AS (SELECT frame_id, src_id, sum(v * dx * dx) - power(sum(v * dx), 2) AS vx, sum(v * dy * dy) - power(sum(v * dy), 2) AS vy FROM stamp GROUP BY ALL) SELECT frame_id, src_id, round(2.3548 * sqrt(sqrt(greatest(vx, 0)) * sqrt(greatest(vy, 0))), 6) + 0 AS fwhm FROM m")
 def _(spark, d):
-    return rounded(im.star_width(im.stamps(t.pixels(spark, d), t.positions(spark, d))), "fwhm")
+    return rounded(im.star_width(im.stamps(t.pixels(spark, d), t.positions(spark, d))), "fwhm").select("frame_id", "src_id", "fwhm")
+
+
+@query("psf_map", t.with_("pixels", "positions") + f""", {STAMP}, m AS (SELECT frame_id, src_id, sum(v * dx * dx) - power(sum(v * dx), 2) AS vx, sum(v * dy * dy) - power(sum(v * dy), 2) AS vy, sum(v * dx * dy) - sum(v * dx) * sum(v * dy) AS vxy FROM stamp GROUP BY ALL),
+  top AS (SELECT frame_id, src_id, max(v) AS peak FROM raw GROUP BY ALL), w AS (SELECT m.frame_id, m.src_id, CAST(floor(y / 4) AS INT) AS j, CAST(floor(x / 4) AS INT) AS i, 2.3548 * sqrt(sqrt(greatest(vx, 0)) * sqrt(greatest(vy, 0))) AS fwhm, degrees(atan2(2 * vxy, vx - vy)) / 2 AS theta, peak
+    FROM m JOIN positions USING (frame_id, src_id) JOIN top USING (frame_id, src_id)), good AS (SELECT * FROM w WHERE fwhm > 1.5 AND fwhm < 8),
+  tile AS (SELECT frame_id, j, i, avg(fwhm) AS a, median(fwhm) AS m, stddev_pop(fwhm) AS s, avg(theta) AS t, min(peak) AS lo, max(peak) AS hi, count(*) AS n_star FROM good GROUP BY ALL),
+  mid AS (SELECT frame_id, j, i, dy, dx, median(v) AS v FROM stamp JOIN good USING (frame_id, src_id) GROUP BY ALL)
+  SELECT frame_id, j, i, (i + 0.5::DOUBLE) * 4 AS x_center, (j + 0.5::DOUBLE) * 4 AS y_center, round(a, 6) + 0 AS fwhm_avg, round(m, 6) + 0 AS fwhm_median, round(s, 6) + 0 AS fwhm_stddev, round(t, 4) + 0 AS theta_avg, round(lo, 6) + 0 AS peak_min, round(hi, 6) + 0 AS peak_max, n_star, dy, dx, round(v, 6) + 0 AS v FROM tile JOIN mid USING (frame_id, j, i)""")
+def _(spark, d):
+    """A row per pixel of each tile's median stamp."""
+    tiles = im.psf_map(t.pixels(spark, d), t.positions(spark, d), 4).select("*", F.explode("psf").alias("p")).select("*", "p.dy", "p.dx", "p.v")
+    out = rounded(rounded(tiles, "fwhm_avg", "fwhm_median", "fwhm_stddev", "peak_min", "peak_max", "v"), "theta_avg", digits=4)
+    return out.drop("psf", "p")
 
 
 TILED = "tiled AS (SELECT frame_id, CAST(y // 4 AS BIGINT) AS j, CAST(x // 4 AS BIGINT) AS i, frame_id * 4 + (y // 4) * 2 + x // 4 AS k, v FROM pixels), " + _duck_clip("tiled", "k", "v", 2.0, 3) + """, own AS (SELECT frame_id, j, i, median(v) AS own, stddev_pop(v) AS rms FROM c2 GROUP BY ALL),
@@ -103,13 +116,14 @@ def _(spark, d):
 
 
 @query("bad_pixel_map", t.with_("pixels") + """, e AS (SELECT grp, min(frame_id) AS a, max(frame_id) AS b FROM pixels GROUP BY ALL), ratio AS (SELECT e.grp, p.y, p.x, (q.v + 5) / (p.v + 5) AS v FROM e JOIN pixels p ON p.frame_id = a JOIN pixels q ON q.frame_id = b AND q.y = p.y AND q.x = p.x),
-  l AS (SELECT r.grp, r.y, r.x, median(o.v) AS m, stddev_pop(o.v) AS s FROM ratio r JOIN ratio o ON r.grp = o.grp AND abs(r.y - o.y) <= 1 AND abs(r.x - o.x) <= 1 GROUP BY ALL) SELECT grp, y, x, round(v - m, 6) + 0 AS residual, abs(v - m) > 1.5 * s AS bad FROM ratio JOIN l USING (grp, y, x)""")
+  l AS (SELECT r.grp, r.y, r.x, any_value(r.v) - median(o.v) AS residual FROM ratio r JOIN ratio o ON r.grp = o.grp AND abs(r.y - o.y) <= 3 AND abs(r.x - o.x) <= 3 GROUP BY ALL), w AS (SELECT grp, y // 15 AS tile_y, x // 15 AS tile_x, quantile_cont(residual, 0.691) - quantile_cont(residual, 0.309) AS s FROM l GROUP BY ALL)
+  SELECT l.grp, y, x, round(residual, 6) + 0 AS residual, abs(residual) > 9 * s AS bad FROM l JOIN w ON l.grp = w.grp AND y // 15 = tile_y AND x // 15 = tile_x""")
 def _(spark, d):
     px = t.pixels(spark, d)
     ends = px.groupBy("grp").agg(F.min("frame_id").alias("a"), F.max("frame_id").alias("b"))
     of = lambda c: ends.join(px.select(F.col("frame_id").alias(c), "y", "x", (F.col("v") + 5).alias(f"v{c}")), c).select("grp", "y", "x", f"v{c}")
     ratio = of("a").join(of("b"), ["grp", "y", "x"]).select("grp", "y", "x", (F.col("vb") / F.col("va")).alias("v"))
-    return rounded(im.bad_pixels(ratio, ["grp"], 1.5), "residual")
+    return rounded(im.bad_pixels(ratio, ["grp"]), "residual")
 
 
 def _in_fields(table: str, scale: float, size: int) -> str:

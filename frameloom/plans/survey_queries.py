@@ -364,15 +364,15 @@ def _(spark, d):
     return ops.in_boxes(t.stars(spark, d).where("mag > 12.5 AND mag < 18"), ops.field_boxes(t.fields(spark, d), 4.0)).select("star_id", "mag")
 
 
-@query("nearest_on_sky", t.with_("stars", "ephemeris") + f""", c AS (SELECT eph_id, star_id, {fx.angular_separation('e.ra', 'e.dec', 's.ra', 's.dec')} AS dd FROM ephemeris e JOIN stars s ON abs(e.dec - s.dec) <= 1.0)
-  SELECT eph_id, star_id, round(dd * 3600, 4) + 0 AS dist FROM (SELECT *, row_number() OVER (PARTITION BY eph_id ORDER BY dd, star_id) AS r FROM c WHERE dd <= 1.0) WHERE r = 1""")
+@query("nearest_on_sky", t.with_("stars", "ephemeris") + f""", c AS (SELECT eph_id, star_id, {fx.angular_separation('e.ra', 'e.dec', 's.ra', 's.dec')} AS dd FROM ephemeris e, stars s)
+  SELECT eph_id, n.id AS star_id, round(n.dd * 3600, 4) + 0 AS dist FROM (SELECT eph_id, min({{'dd': dd, 'id': star_id}}) AS n FROM c GROUP BY eph_id)""")
 def _(spark, d):
     return rounded(ops.nearest_on_sky(t.ephemeris(spark, d), t.stars(spark, d), 1.0), "dist", digits=4)
 
 
-@query("predict_targets", t.with_("stars", "ephemeris") + f""", c AS (SELECT eph_id, star_id, {fx.angular_separation('e.ra', 'e.dec', 's.ra', 's.dec')} AS dd FROM ephemeris e JOIN stars s ON abs(e.dec - s.dec) <= 1.0 WHERE vmag < 16.5),
-  n AS (SELECT *, row_number() OVER (PARTITION BY eph_id ORDER BY dd, star_id) AS r FROM c WHERE dd <= 1.0)
-  SELECT e.eph_id, e.obsid, e.vmag, n.star_id, round(n.dd * 3600, 4) + 0 AS dist FROM ephemeris e LEFT JOIN n ON e.eph_id = n.eph_id AND r = 1 WHERE vmag < 16.5""")
+@query("predict_targets", t.with_("stars", "ephemeris") + f""", c AS (SELECT eph_id, star_id, {fx.angular_separation('e.ra', 'e.dec', 's.ra', 's.dec')} AS dd FROM ephemeris e, stars s WHERE vmag < 16.5),
+  b AS (SELECT eph_id, min({{'dd': dd, 'id': star_id}}) AS n FROM c GROUP BY eph_id)
+  SELECT e.eph_id, e.obsid, e.vmag, n.id AS star_id, round(n.dd * 3600, 4) + 0 AS dist FROM ephemeris e LEFT JOIN b ON e.eph_id = b.eph_id WHERE vmag < 16.5""")
 def _(spark, d):
     e = t.ephemeris(spark, d).where("vmag < 16.5")
     near = rounded(ops.nearest_on_sky(e, t.stars(spark, d), 1.0), "dist", digits=4)

@@ -64,3 +64,20 @@ def test_flat_background_and_empty_tables(spark):
     assert im.detect(none, 1.0, 1).count() == 0 and im.background(none, 4).count() == 0
     at = spark.createDataFrame([], "frame_id long, src_id long, x double, y double")
     assert im.aperture_sum(none, at, 1.5).count() == 0 and im.stamps(none, at).count() == 0
+
+
+def test_bad_pixels_of_a_wide_box(spark):
+    random.seed(4)
+    data = [(1, y, x, 1 + random.gauss(0, 0.01)) for y in range(30) for x in range(30)]
+    data = [(g, y, x, 2.0 if (y, x) in {(4, 4), (4, 5), (29, 29)} else v) for g, y, x, v in data]
+    got = im.bad_pixels(spark.createDataFrame(data, "grp long, y long, x long, v double"), ["grp"])
+    assert {(r["y"], r["x"]) for r in got.where("bad").collect()} == {(4, 4), (4, 5), (29, 29)} and got.count() == 900
+
+
+def test_psf_map_of_planted_stars(spark):
+    stars = [(1, 10.0, 10.0, 1.2), (2, 20.0, 11.0, 1.2), (3, 50.0, 50.0, 1.2), (4, 56.0, 40.0, 0.2)]
+    data = [(7, y, x, sum(100 * math.exp(-((x - a) ** 2 + (y - b) ** 2) / (2 * s * s)) for _, a, b, s in stars)) for y in range(64) for x in range(64)]
+    at = spark.createDataFrame([(7, i, a, b) for i, a, b, _ in stars], "frame_id long, src_id long, x double, y double")
+    got = im.psf_map(spark.createDataFrame(data, "frame_id long, y long, x long, v double"), at, 32, half=5).orderBy("j", "i").collect()
+    assert [(r["j"], r["i"], r["n_star"], r["x_center"]) for r in got] == [(0, 0, 2, 16.0), (1, 1, 1, 48.0)]
+    assert all(abs(r["fwhm_median"] - 2.3548 * 1.2) < 0.02 and len(r["psf"]) == 121 for r in got)

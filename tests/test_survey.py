@@ -70,3 +70,10 @@ def test_hot_pixel_leaves_stack(spark):
     data = [(f, 0, 0, 10.0 + 0.01 * f) for f in range(9)] + [(9, 0, 0, 5000.0)]
     r = ops.stack(spark.createDataFrame(data, "frame_id int, y int, x int, v double"), ["y", "x"], 5).first()
     assert r["n"] == 10 and r["n_kept"] == 9 and abs(r["v"] - 10.04) < 1e-9
+
+
+def test_nearest_on_sky_goes_on_to_the_whole_sky(spark):
+    targets = spark.createDataFrame([(1, 10.0, 5.0), (2, 190.0, -5.0), (3, 359.9, 89.9), (4, None, 1.0)], "eph_id long, ra double, dec double")
+    stars = spark.createDataFrame([(8, 10.2, 5.0), (9, 30.0, 60.0)], "star_id long, ra double, dec double")
+    got = {r["eph_id"]: (r["star_id"], round(r["dist"] / 3600)) for r in ops.nearest_on_sky(targets, stars, 1.0).collect()}
+    assert got == {1: (8, 0), 2: (9, 123), 3: (9, 30)} and ops.nearest_on_sky(targets, stars.limit(0), 1.0).count() == 0
