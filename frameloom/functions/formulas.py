@@ -99,15 +99,17 @@ def julian_date(us: str) -> str:
     return f"(cast({us} AS double) / 86400000000 + 2440587.5e0)"
 
 
-def disc_corner(x: str, y: str, r: float) -> str:
-    """Signed area of the disc of radius r about 0 between 0 and x and between 0 and y."""
-    a, b, rr = f"least(abs({x}), {r}e0)", f"least(abs({y}), {r}e0)", f"{r * r}e0"
+def disc_corner(x: str, y: str, r: float | str) -> str:
+    """Signed area of the disc of radius r (a number, or SQL) about 0 between 0 and x and between 0 and y."""
+    rr = f"({r} * {r})" if isinstance(r, str) else f"{r * r}e0"
+    r = r if isinstance(r, str) else f"{r}e0"
+    a, b = f"least(abs({x}), {r})", f"least(abs({y}), {r})"
     start = f"sqrt(greatest({rr} - {b} * {b}, 0e0))"
-    under = lambda u: f"(0.5e0 * ({u} * sqrt(greatest({rr} - {u} * {u}, 0e0)) + {rr} * asin(least({u} / {r}e0, 1e0))))"
+    under = lambda u: f"(0.5e0 * ({u} * sqrt(greatest({rr} - {u} * {u}, 0e0)) + {rr} * asin(least({u} / {r}, 1e0))))"
     return f"(sign({x}) * sign({y}) * CASE WHEN {a} * {a} + {b} * {b} <= {rr} THEN {a} * {b} ELSE {start} * {b} + {under(a)} - {under(start)} END)"
 
 
-def disc_share(dx: str, dy: str, r: float) -> str:
+def disc_share(dx: str, dy: str, r: float | str) -> str:
     """Area of the unit pixel at dx, dy from the centre that the disc covers."""
     lo, hi = (lambda v: f"({v} - 0.5e0)"), (lambda v: f"({v} + 0.5e0)")
     c = lambda x, y: disc_corner(x, y, r)

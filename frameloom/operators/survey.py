@@ -131,10 +131,13 @@ def pairs_within(left: DataFrame, right: DataFrame, radius: float, closed: bool
     return both.where(F.col("sep") <= radius if closed else F.col("sep") < radius).drop("cx", "cy")
 
 
-def match_nearest(sources: DataFrame, stars: DataFrame, radius: float) -> DataFrame:
-    """src_id, star_id, sep: each source's nearest star closer than radius."""
-    best = pairs_within(sources, stars, radius).groupBy("src_id").agg(F.min(F.struct("sep", "r_star_id")).alias("b"))
-    return best.select("src_id", F.col("b.r_star_id").alias("star_id"), F.col("b.sep").alias("sep"))
+def match_nearest(sources: DataFrame, stars: DataFrame, radius: float, clip: float | None = None, rounds: int = 5) -> DataFrame:
+    """frame_id, src_id, star_id, sep: each source's nearest star closer than radius on its own frame, the smaller id on ties. Sources may be
+    numbered anew on every frame. With `clip`, matches whose separations lie more than so many deviations from the median of their
+    frame's are left out, over some rounds. Null places match nothing."""
+    best = pairs_within(sources, stars, radius).groupBy("frame_id", "src_id").agg(F.min(F.struct("sep", "r_star_id")).alias("b"))
+    found = best.select("frame_id", "src_id", F.col("b.r_star_id").alias("star_id"), F.col("b.sep").alias("sep"))
+    return sigma_clip(found, ["frame_id"], "sep", clip, rounds) if clip else found
 
 
 def isolated(stars: DataFrame, radius: float, by: tuple[str, ...] = ("frame_id",)) -> DataFrame:
@@ -144,9 +147,9 @@ def isolated(stars: DataFrame, radius: float, by: tuple[str, ...] = ("frame_id",
 
 
 def away_from(stars: DataFrame, bright: DataFrame, radius: float) -> DataFrame:
-    """Stars with no bright star closer than radius, the bright ones aside."""
-    near = pairs_within(stars, bright, radius).where("star_id <> r_star_id").select("star_id").distinct()
-    return stars.join(near, "star_id", "left_anti")
+    """Stars with no bright star of the same frame closer than radius, the bright ones aside. Stars may be on several frames."""
+    near = pairs_within(stars, bright, radius).where("star_id <> r_star_id").select("frame_id", "star_id").distinct()
+    return stars.join(near, ["frame_id", "star_id"], "left_anti")
 
 
 def field_boxes(fields: DataFrame, half: float) -> DataFrame:

@@ -52,25 +52,6 @@ def _(spark, d):
     return rounded(im.windowed_centroids(t.pixels(spark, d), t.positions(spark, d), 1.5), "x", "y", digits=5)
 
 
-DETECT = """f AS (SELECT frame_id, median(v) AS m, stddev_pop(v) AS s FROM pixels GROUP BY ALL), hot AS (SELECT frame_id, y, x, v, y * 8 + x AS id FROM pixels JOIN f USING (frame_id) WHERE v > m + 0.8 * s),
-  reach(frame_id, a, b) AS (SELECT frame_id, id, id FROM hot UNION SELECT r.frame_id, r.a, h.id FROM reach r JOIN hot h ON r.frame_id = h.frame_id AND abs(h.y - r.b // 8) <= 1 AND abs(h.x - r.b % 8) <= 1),
-  named AS (SELECT frame_id, a AS id, min(b) AS label, count(*) AS npix FROM reach GROUP BY ALL), found AS (SELECT h.frame_id, label // 8 AS label_y, label % 8 AS label_x, y, x, v FROM hot h JOIN named n ON h.frame_id = n.frame_id AND h.id = n.id WHERE npix >= 3)"""
-
-
-@query("detect_sources", t.with_("pixels").replace("WITH", "WITH RECURSIVE") + f", {DETECT} SELECT frame_id, label_y, label_x, count(*) AS npix, round(sum(v), 6) + 0 AS flux, round(max(v), 6) + 0 AS peak FROM found GROUP BY ALL")
-def _(spark, d):
-    found = im.detect(t.pixels(spark, d), 0.8, 3).groupBy("frame_id", "label_y", "label_x")
-    return rounded(found.agg(F.count("*").alias("npix"), F.sum("v").alias("flux"), F.max("v").alias("peak")), "flux", "peak")
-
-
-@query("source_mask", t.with_("pixels").replace("WITH", "WITH RECURSIVE") + f""", {DETECT}, c AS (SELECT frame_id, label_y, label_x, avg(x) AS cx, avg(y) AS cy FROM found GROUP BY ALL),
-  g AS (SELECT frame_id, label_y, label_x, cx, cy, max(sqrt(power(x - cx, 2) + power(y - cy, 2))) + 1 AS r FROM found JOIN c USING (frame_id, label_y, label_x) GROUP BY ALL)
-  SELECT frame_id, y, x FROM pixels p WHERE EXISTS (SELECT 1 FROM g WHERE g.frame_id = p.frame_id AND sqrt(power(p.x - cx, 2) + power(p.y - cy, 2)) <= r)""")
-def _(spark, d):
-    px = t.pixels(spark, d)
-    return im.source_mask(px, im.detect(px, 0.8, 3))
-
-
 STAMP = """spot AS (SELECT frame_id, src_id, CAST(floor(x + 0.5) AS INT) AS cx, CAST(floor(y + 0.5) AS INT) AS cy FROM positions), raw AS (SELECT a.frame_id, src_id, CAST(p.y - cy AS INT) AS dy, CAST(p.x - cx AS INT) AS dx, v FROM spot a JOIN pixels p ON a.frame_id = p.frame_id AND abs(p.x - cx) <= 1 AND abs(p.y - cy) <= 1),
   facts AS (SELECT frame_id, src_id, min(v) AS low, sum(v) AS total, count(*) AS n FROM raw GROUP BY ALL HAVING count(*) = 9), stamp AS (SELECT frame_id, src_id, dy, dx, (v - low) / (total - n * low) AS v FROM raw JOIN facts USING (frame_id, src_id))"""
 
@@ -148,15 +129,6 @@ def _(spark, d):
     return im.merge_boxes(ops.field_boxes(t.fields(spark, d), 4.0))
 
 
-@query("frame_zeropoints", t.with_("sources", "stars") + """, c AS (SELECT s.frame_id, src_id, flux, mag, star_id, sqrt(power(s.x - t.x, 2) + power(s.y - t.y, 2)) AS sep FROM sources s JOIN stars t ON s.frame_id = t.frame_id AND abs(s.x - t.x) < 30 AND abs(s.y - t.y) < 30),
-  dm AS (SELECT frame_id, mag + 2.5 * log10(flux / 30) AS dm FROM (SELECT *, row_number() OVER (PARTITION BY src_id ORDER BY sep, star_id) AS r FROM c WHERE sep < 30) WHERE r = 1 AND mag BETWEEN 12.5 AND 18), """ + _duck_clip("dm", "frame_id", "dm", 2.0, 5) + " SELECT frame_id, round(median(dm), 6) + 0 AS zp, round(stddev_samp(dm), 6) + 0 AS zp_err, count(*) AS n FROM c4 GROUP BY frame_id")
-def _(spark, d):
-    src, stars = t.sources(spark, d), t.stars(spark, d)
-    matched = ops.match_nearest(src, stars, 30.0).join(stars.select("star_id", F.col("mag").alias("cat_mag")), "star_id").where("cat_mag BETWEEN 12.5 AND 18")
-    phot = src.select("frame_id", "src_id", F.lit(False).alias("bad"), (-2.5 * F.log10(F.col("flux") / 30)).alias("mag_inst")).join(matched.select("src_id", "cat_mag"), "src_id")
-    return rounded(ops.zeropoint(phot, 2.0), "zp", "zp_err")
-
-
 @query("moving_object_photometry")
 def _(spark, d):
     """Predictions on each frame, away from its border, centred, measured and set against the sky about them."""

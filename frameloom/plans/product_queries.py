@@ -91,12 +91,3 @@ def _(spark, d):
     path = products.fresh_folder(spark, "zeropoints")
     products.write_zeropoints(rows, path)
     return spark.read.schema(rows.schema).parquet(path)
-
-
-@query("read_psf_table", f"WITH p AS ({SQL['psf_tiles']}), {t.with_('sources')[5:]} SELECT src_id, round(coalesce(p.fwhm_median, 2.5), 6) + 0 AS fwhm FROM (SELECT src_id, frame_id, {_i} AS i, {_j} AS j FROM sources) s LEFT JOIN p ON s.frame_id = p.frame_id AND s.i = p.i AND s.j = p.j AND p.frame_id % 2 = 0")
-def _(spark, d):
-    """Frames with an odd number have no table, so their sources get the fallback."""
-    path = products.fresh_folder(spark, "psf")
-    products.write_psf_table(QUERIES["psf_tiles"](spark, d).where("frame_id % 2 = 0"), path)
-    at = t.sources(spark, d).select("src_id", "frame_id", F.expr(_i).cast("int").alias("i"), F.expr(_j).cast("int").alias("j"))
-    return rounded(products.tile_fwhm(at, products.read_psf_table(spark, path)), "fwhm").select("src_id", "fwhm")

@@ -143,8 +143,6 @@ formulas("mag_range", "stars", "star_id", {"mag": "mag"}, "mag > 13.0 AND mag <
 formulas("image_bounds", "stars", "star_id", {"x": "x", "y": "y"}, f"x BETWEEN -10 AND {SIZE - 800} AND y BETWEEN -10 AND {SIZE - 800}")
 formulas("edge_exclusion", "sources", "src_id", {"gap": _edge}, f"{_edge} > 7 * 2.5")
 formulas("sky_box", "stars", "star_id", {"ra": "ra", "dec": "dec"}, "(ra >= 355.0 - 0.1 OR ra <= 5.0 + 0.1) AND dec BETWEEN -40.1 AND 40.1")
-formulas("shape_filter", "sources", "src_id", {"flux": "flux"}, "flux > 1000 AND flux < 1500 AND (1.0 + npix / 25.0) <= 2.0")
-formulas("classify_blobs", "sources", "src_id", {"kind": "CASE WHEN 1.0 + npix / 15.0 >= 3 THEN 2 WHEN 1.0 + npix / 15.0 < 2 AND npix >= 10 THEN 1 ELSE 0 END"})
 formulas("read_catalog", "stars", "star_id", {"ra": "ra", "dec": "dec", "band": "cast(floor(dec / 5) AS int)"})
 
 
@@ -298,18 +296,6 @@ def _(spark, d):
     return rounded(px.join(b, "frame_id").select("frame_id", "y", "x", F.when(F.abs(F.col("v") - F.col("m")) <= 2 * F.col("s"), F.col("v")).alias("v")), "v")
 
 
-@query("source_moments", t.with_("pixels") + """, p AS (SELECT * FROM pixels WHERE v > 0.1), m AS (SELECT frame_id, count(*) AS npix, sum(v) AS flux, max(v) AS peak, sum(v * x) / sum(v) AS cx, sum(v * y) / sum(v) AS cy, sum(v * x * x) / sum(v) AS xx, sum(v * y * y) / sum(v) AS yy, sum(v * x * y) / sum(v) AS xy FROM p GROUP BY frame_id)
-  SELECT frame_id, npix, round(flux, 6) + 0 AS flux, round(peak, 6) + 0 AS peak, round(cx, 6) + 0 AS cx, round(cy, 6) + 0 AS cy,
-  round(((xx - cx * cx) + (yy - cy * cy)) / 2 + sqrt(power(((xx - cx * cx) - (yy - cy * cy)) / 2, 2) + power(xy - cx * cy, 2)), 5) + 0 AS a2 FROM m""")
-def _(spark, d):
-    w = lambda e: F.sum(F.col("v") * e) / F.sum("v")
-    x, y = F.col("x"), F.col("y")
-    m = t.pixels(spark, d).where("v > 0.1").groupBy("frame_id").agg(F.count("*").alias("npix"), F.sum("v").alias("flux"), F.max("v").alias("peak"), w(x).alias("cx"), w(y).alias("cy"), w(x * x).alias("xx"), w(y * y).alias("yy"), w(x * y).alias("xy"))
-    sx, sy, sxy = F.col("xx") - F.col("cx") ** 2, F.col("yy") - F.col("cy") ** 2, F.col("xy") - F.col("cx") * F.col("cy")
-    m = m.withColumn("a2", F.round((sx + sy) / 2 + F.sqrt(((sx - sy) / 2) ** 2 + sxy**2), 5) + 0.0)
-    return rounded(m, "flux", "peak", "cx", "cy").select("frame_id", "npix", "flux", "peak", "cx", "cy", "a2")
-
-
 # --- joins ---------------------------------------------------------------------------------------------------------------
 def _of_type(spark, d, kind):
     return t.frames(spark, d).where(F.col("imagetyp") == kind)
@@ -333,7 +319,7 @@ def _(spark, d):
 @query("match_catalogs", t.with_("sources", "stars") + """, c AS (SELECT src_id, star_id, sqrt(power(s.x - t.x, 2) + power(s.y - t.y, 2)) AS sep FROM sources s JOIN stars t ON s.frame_id = t.frame_id AND abs(s.x - t.x) < 30 AND abs(s.y - t.y) < 30)
   SELECT src_id, star_id, round(sep, 6) AS sep FROM (SELECT *, row_number() OVER (PARTITION BY src_id ORDER BY sep, star_id) AS r FROM c WHERE sep < 30) WHERE r = 1""")
 def _(spark, d):
-    return rounded(ops.match_nearest(t.sources(spark, d), t.stars(spark, d), 30.0), "sep")
+    return rounded(ops.match_nearest(t.sources(spark, d), t.stars(spark, d), 30.0), "sep").drop("frame_id")
 
 
 NEAR = "SELECT a.star_id FROM stars a JOIN stars b ON a.frame_id = b.frame_id AND a.star_id <> b.star_id AND abs(a.x - b.x) < {r} AND abs(a.y - b.y) < {r} AND power(a.x - b.x, 2) + power(a.y - b.y, 2) < {r} * {r} {w}"
@@ -406,15 +392,12 @@ PHOT = """phot AS (SELECT *, net / err AS snr, CASE WHEN net > 0 AND exptime > 0
   SELECT *, aperture_sum - area * sky AS net, sqrt(greatest(aperture_sum, 0) / 18.69 + area * 0.0025 + area * area * 0.0025 / 100) AS err FROM measurements))"""
 
 
-@query("photometry", t.with_("measurements") + f", {PHOT} SELECT frame_id, src_id, line, round(net, 6) + 0 AS net, round(err, 6) + 0 AS err, round(snr, 4) + 0 AS snr, round(mag_inst, 6) + 0 AS mag_inst, round(2.5 / ln(10) / snr, 6) + 0 AS mag_err, bad FROM phot")
+@query("phot_math", t.with_("measurements") + f", {PHOT} SELECT frame_id, src_id, line, round(net, 6) + 0 AS net, round(err, 6) + 0 AS err, round(snr, 4) + 0 AS snr, round(mag_inst, 6) + 0 AS mag_inst, round(2.5 / ln(10) / snr, 6) + 0 AS mag_err, bad FROM phot")
 def _(spark, d):
     p = rounded(rounded(ops.photometry(t.measurements(spark, d)), "net", "err", "mag_inst", "mag_err"), "snr", digits=4)
     return p.select("frame_id", "src_id", "line", "net", "err", "snr", "mag_inst", "mag_err", "bad")
 
 
-QUERIES["phot_math"], SQL["phot_math"] = QUERIES["photometry"], SQL["photometry"]
-
-
 def _duck_clip(source: str, key: str, col: str, k: float, rounds: int) -> str:
     out, last = [], source
     for n in range(rounds):

@@ -25,6 +25,13 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared or 'file://' + tempfile.gettempdir() + '/frameloom-checkpoints'}/{name}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def _write(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
@@ -44,14 +51,10 @@ def write_zeropoints(zeropoints: DataFrame, path: str) -> None:
 
 
 def write_psf_table(tiles: DataFrame, path: str) -> None:
-    tiles.select(*(c.split(" ")[0] for c in PSF_SCHEMA.split(", "))).write.mode("overwrite").option("header", True).csv(path)
+    """Columns that tiles lack are written as nulls."""
+    columns = [c.split(" ") for c in PSF_SCHEMA.split(", ")]
+    tiles.select(*(F.col(c) if c in tiles.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_psf_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PSF_SCHEMA).option("header", True).csv(path)
-
-
-def tile_fwhm(sources: DataFrame, tiles: DataFrame, fallback: float = 2.5) -> DataFrame:
-    """sources (frame_id, i, j, ...) with fwhm: of their tile, or the fallback where their frame or tile has none."""
-    known = tiles.select("frame_id", "i", "j", F.col("fwhm_median").alias("fwhm"))
-    return sources.join(known, ["frame_id", "i", "j"], "left").withColumn("fwhm", F.coalesce("fwhm", F.lit(fallback)))

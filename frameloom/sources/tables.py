@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,36 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("frame_id", (k * 2 + n).alias("src_id"), (2 + (k * 7 + n * 3) % 17 * 0.25).alias("x"), (2 + (k * 5 + n * 11) % 17 * 0.25).alias("y"))
 
 
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector is a block of 8 by 8 pixels, 8 by 8 blocks are a frame."""
+    k = F.col("vec_id")
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.expr("vec_id div 64").alias("frame_id"), F.expr("vec_id % 64 div 8").alias("ky"), (k % 8).alias("kx"), "embedding")
+
+
+def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stars of the mosaics, about five a frame, with their true flux; the brightest saturate."""
+    k = F.col("star_id")
+    rows = _blocks(spark, sf_dir).where("(kx + 5 * ky) % 13 = 2 AND ky < 7").withColumnRenamed("vec_id", "star_id")
+    return rows.select("frame_id", "star_id", (F.col("kx") * 8 + 3 + k * 7 % 17 / 16.0).alias("x"), (F.col("ky") * 8 + 3 + k * 5 % 13 / 12.0).alias("y"), (800.0 * (1 + k % 7) * (1 + k % 7)).alias("flux"))
+
+
+def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """frame_id, y, x, v: frames of 64 by 64 pixels, the vectors as noise on a sloping sky, with the planted stars (a Gaussian of 1.3 pixels,
+    cut at 6) and, on even frames, a streak."""
+    rows = _blocks(spark, sf_dir).select("frame_id", "ky", "kx", F.posexplode("embedding").alias("i", "v"))
+    sky = rows.select("frame_id", F.expr("ky * 8 + i div 8").alias("y"), F.expr("kx * 8 + i % 8").alias("x"), (F.col("v").cast("double") * 10).alias("v"))
+    streak = F.when(F.expr("frame_id % 2 = 0 AND y IN (61, 62) AND x BETWEEN 10 AND 50"), 200.0).otherwise(0.0)
+    sky = sky.withColumn("v", 100 + F.col("x") * 0.05 + F.col("v") + streak)
+    around = lambda c: F.explode(F.sequence(F.floor(c).cast("long") - 6, F.floor(c).cast("long") + 6))
+    spots = planted(spark, sf_dir).withColumn("py", around("y")).withColumn("px", around("x"))
+    light = F.expr(f"flux / {TWO_PI_VAR} * exp(-((px - x) * (px - x) + (py - y) * (py - y)) / {2 * SIGMA * SIGMA}e0)")
+    spill = spots.groupBy("frame_id", F.col("py").alias("y"), F.col("px").alias("x")).agg(F.sum(light).alias("light"))
+    return sky.join(spill, ["frame_id", "y", "x"], "left").select("frame_id", "y", "x", (F.col("v") + F.coalesce("light", F.lit(0.0))).alias("v"))
+
+
+SIGMA = 1.3
+TWO_PI_VAR = f"{2 * math.pi * SIGMA * SIGMA}e0"
+
 #: The same tables for DuckDB.
 SQL = {
     "frames": "frames AS (SELECT event_id AS frame_id, 'img_' || lpad(CAST(event_id AS VARCHAR), 6, '0') || '.fits' AS file, CASE event_type "
@@ -98,6 +130,11 @@ SQL = {
     "fields": "fields AS (SELECT s_suppkey AS field_id, ((s_suppkey * s_suppkey * 37 + s_suppkey * 1237) % 3600) / 10.0::DOUBLE AS ra, ((s_suppkey * s_suppkey * 11 + s_suppkey * 769) % 1600) / 10.0::DOUBLE - 80 AS dec FROM supplier)",
     "measurements": "measurements AS (SELECT l_suppkey AS frame_id, l_orderkey AS src_id, l_linenumber AS line, l_extendedprice AS aperture_sum, l_quantity AS exptime, 1 + l_discount AS area, l_tax AS sky, 15 + (l_partkey % 300) / 100.0::DOUBLE AS cat_mag FROM lineitem)",
     "positions": "positions AS (SELECT vec_id AS frame_id, vec_id * 2 + n AS src_id, 2 + ((vec_id * 7 + n * 3) % 17) * 0.25::DOUBLE AS x, 2 + ((vec_id * 5 + n * 11) % 17) * 0.25::DOUBLE AS y FROM embeddings, (SELECT unnest([0, 1]) AS n))",
+    "planted": "blocks AS (SELECT vec_id, vec_id // 64 AS frame_id, vec_id % 64 // 8 AS ky, vec_id % 8 AS kx, embedding FROM embeddings), planted AS (SELECT frame_id, vec_id AS star_id, kx * 8 + 3 + (vec_id * 7 % 17) / 16.0::DOUBLE AS x, ky * 8 + 3 + (vec_id * 5 % 13) / 12.0::DOUBLE AS y, 800.0::DOUBLE * (1 + vec_id % 7) * (1 + vec_id % 7) AS flux FROM blocks WHERE (kx + 5 * ky) % 13 = 2 AND ky < 7)",
+    "mosaic": "sky AS (SELECT frame_id, ky * 8 + i // 8 AS y, kx * 8 + i % 8 AS x, v FROM (SELECT frame_id, ky, kx, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM blocks)), "
+    "spots AS (SELECT * FROM (SELECT *, CAST(floor(x) AS BIGINT) + a AS px FROM planted, (SELECT unnest(range(-6, 7)) AS a)), (SELECT unnest(range(-6, 7)) AS b)), "
+    f"spill AS (SELECT frame_id, CAST(floor(y) AS BIGINT) + b AS y, px AS x, sum(flux / {TWO_PI_VAR} * exp(-(power(px - x, 2) + power(CAST(floor(y) AS BIGINT) + b - y, 2)) / {2 * SIGMA * SIGMA}e0)) AS light FROM spots GROUP BY 1, 2, 3), "
+    "mosaic AS (SELECT s.frame_id, s.y, s.x, 100 + s.x * 0.05::DOUBLE + s.v * 10 + CASE WHEN s.frame_id % 2 = 0 AND s.y IN (61, 62) AND s.x BETWEEN 10 AND 50 THEN 200 ELSE 0 END + coalesce(light, 0) AS v FROM sky s LEFT JOIN spill USING (frame_id, y, x))",
     "ephemeris": "ephemeris AS (SELECT o_orderkey AS eph_id, o_custkey % 100 AS obsid, (o_orderkey * 6271 % 36000) / 100.0::DOUBLE AS ra, (o_orderkey * 92821 % 17000) / 100.0::DOUBLE - 85 AS dec, 14 + (o_orderkey % 600) / 100.0::DOUBLE AS vmag FROM orders)",
 }
 
