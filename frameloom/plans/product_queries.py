@@ -68,26 +68,45 @@ def _(spark, d):
     return rounded(_masters(spark, d), "v").select("imagetyp", "grp", "y", "x", "v", "n", "n_kept")
 
 
-@query("write_masters", MASTERS)
+@query("write_masters", t.with_("pixels") + f""", nights AS (SELECT *, CAST(20240101 + frame_id % 3 AS INT) AS obsdate FROM pixels WHERE grp < 4), late AS (SELECT * REPLACE (v + 1 AS v) FROM nights WHERE obsdate = 20240102 AND grp = 2), used AS (SELECT * FROM nights WHERE NOT (obsdate = 20240102 AND grp = 2) UNION ALL SELECT * FROM late),
+  {_duck_stack("used", "obsdate, grp, y, x", 5)} SELECT 'DARK' AS imagetyp, grp, obsdate, y, x, round(v, 6) + 0 AS v, CAST(n AS INT) AS n FROM stacked""")
 def _(spark, d):
+    """Masters of three nights, written night by night, then one night's master of one group again."""
+    nights = t.pixels(spark, d).where("grp < 4").withColumn("obsdate", (20240101 + F.col("frame_id") % 3).cast("int"))
     path = products.fresh_folder(spark, "masters")
-    products.write_masters(_masters(spark, d), path)
-    back = spark.read.schema(products.MASTERS).parquet(path)
-    return rounded(back, "v").select("imagetyp", "grp", "y", "x", "v", "n", "n_kept")
+    made = lambda px: ops.stack(px, ["obsdate", "grp", "y", "x"], 5.0).withColumn("imagetyp", F.lit("DARK")).select("imagetyp", "grp", "obsdate", "y", "x", "v", "n")
+    for night in (20240101, 20240102, 20240103):
+        products.write_masters(made(nights.where(F.col("obsdate") == night)), path)
+    products.write_masters(made(nights.where("obsdate = 20240102 AND grp = 2").withColumn("v", F.col("v") + 1)), path)
+    return rounded(products.read_masters(spark, path), "v")
 
 
-@query("write_level1", f"WITH c AS ({SQL['correct_level1']}), {t.with_('frames')[5:]} SELECT c.frame_id, y, x, v, bits, CAST(strftime(obs_ts, '%Y%m%d') AS INT) AS obsdate FROM c JOIN frames USING (frame_id)")
+@query("write_level1", f"WITH c AS ({SQL['correct_level1']}), {t.with_('frames')[5:]} SELECT c.frame_id, y, x, CASE WHEN c.frame_id % 10 = 3 THEN -1 ELSE v END AS v, bits, CAST(strftime(obs_ts, '%Y%m%d') AS INT) AS obsdate, 'kl4040.sci.lv1.' || c.frame_id || '.fits' AS lv1_name FROM c JOIN frames USING (frame_id)")
 def _(spark, d):
-    day = t.frames(spark, d).select("frame_id", F.date_format("obs_ts", "yyyyMMdd").cast("int").alias("obsdate"))
+    """Corrected frames with their names, then every tenth frame again: the others of its day stay."""
+    day = t.frames(spark, d).select("frame_id", F.date_format("obs_ts", "yyyyMMdd").cast("int").alias("obsdate"), F.format_string("kl4040.sci.lv1.%d.fits", "frame_id").alias("lv1_name"))
+    rows = QUERIES["correct_level1"](spark, d).join(day, "frame_id")
     path = products.fresh_folder(spark, "level1")
-    products.write_level1(QUERIES["correct_level1"](spark, d).join(day, "frame_id"), path)
-    return spark.read.schema("frame_id long, y int, x int, v double, bits int, obsdate int").parquet(path)
+    products.write_level1(rows, path)
+    products.write_level1(products.read_level1(spark, path).where("frame_id % 10 = 3").withColumn("v", F.lit(-1.0)), path)
+    return products.read_level1(spark, path).select("frame_id", "y", "x", "v", "bits", "obsdate", "lv1_name")
 
 
-@query("write_zeropoints", f"WITH z AS ({SQL['zeropoint']}), {t.with_('frames')[5:]} SELECT z.*, CAST(strftime(obs_ts, '%Y%m%d') AS INT) AS obsdate FROM z JOIN frames USING (frame_id)")
+@query("write_zeropoints", f"WITH z AS ({SQL['zeropoint']}), {t.with_('frames')[5:]} SELECT z.* REPLACE (CASE WHEN z.frame_id % 7 = 2 THEN 99 ELSE zp END AS zp), CAST(strftime(obs_ts, '%Y%m%d') AS INT) AS obsdate FROM z JOIN frames USING (frame_id)")
 def _(spark, d):
     day = t.frames(spark, d).select("frame_id", F.date_format("obs_ts", "yyyyMMdd").cast("int").alias("obsdate"))
     rows = QUERIES["zeropoint"](spark, d).join(day, "frame_id")
     path = products.fresh_folder(spark, "zeropoints")
     products.write_zeropoints(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    products.write_zeropoints(products.read_zeropoints(spark, path).where("frame_id % 7 = 2").withColumn("zp", F.lit(99.0)), path)
+    return products.read_zeropoints(spark, path)
+
+
+@query("apply_frame_updates", f"WITH z AS ({SQL['zeropoint']}), {t.with_('frames')[5:]} SELECT f.frame_id, file, CASE WHEN f.frame_id % 7 = 2 AND zp IS NOT NULL THEN 99 ELSE zp END AS zp, zp_err, n FROM frames f LEFT JOIN z USING (frame_id)")
+def _(spark, d):
+    """Zero points as last written, set on their frames."""
+    path = products.fresh_folder(spark, "zeropoints")
+    rows = QUERIES["zeropoint"](spark, d)
+    products.write_zeropoints(rows.withColumn("obsdate", F.lit(20240101)), path)
+    products.write_zeropoints(rows.where("frame_id % 7 = 2").withColumns({"zp": F.lit(99.0), "obsdate": F.lit(20240102)}), path)
+    return products.apply_updates(t.frames(spark, d).select("frame_id", "file"), products.read_zeropoints(spark, path), ["zp", "zp_err", "n"])

@@ -473,12 +473,6 @@ def _(spark, d):
     return a.unionByName(t.stars(spark, d).select(F.col("star_id").alias("id"), "x", "y", "mag"), allowMissingColumns=True)
 
 
-@query("apply_frame_updates", t.with_("frames", "fields") + "SELECT frame_id, coalesce(f.dec, value) AS zp_g FROM frames LEFT JOIN fields f ON frame_id = field_id")
-def _(spark, d):
-    new = t.fields(spark, d).select(F.col("field_id").alias("frame_id"), F.col("dec").alias("new"))
-    return t.frames(spark, d).select("frame_id", "value").join(new, "frame_id", "left").select("frame_id", F.coalesce("new", "value").alias("zp_g"))
-
-
 @query("append_history", t.with_("frames") + "SELECT frame_id, array_to_string(['created', imagetyp, 'level 1 from ' || file], '; ') AS history FROM frames")
 def _(spark, d):
     start = t.frames(spark, d).withColumn("history", F.array(F.lit("created"), F.col("imagetyp")))
