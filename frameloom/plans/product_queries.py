@@ -8,31 +8,40 @@ from pyspark.sql import functions as F
 from ..operators import survey as ops
 from ..sources import fits, products
 from ..sources import tables as t
+from ..sources.fits_source import read_fits
 from .survey_queries import DARK, QUERIES, SQL, SUB, _duck_stack, _i, _j, _minus_bias, _minus_dark, query, rounded
 
 
-def written(files: DataFrame) -> DataFrame:
-    """Files as rows, written once."""
-    path = products.fresh_folder(files.sparkSession, "files")
-    files.write.parquet(path)
-    return files.sparkSession.read.parquet(path)
-
-
 @query("scan_headers", t.with_("frames") + "SELECT file, imagetyp, detector, exptime FROM frames WHERE frame_id % 97 <> 0")
 def _(spark, d):
-    """A header for every frame; one of 97 files breaks off before its end."""
+    """A file on disk for every frame, of which one of 97 breaks off before its end, read through the data source."""
     cards = F.array(fits.card("SIMPLE", F.lit("T")), fits.card("BITPIX", F.lit(16)), fits.card("NAXIS", F.lit(0)), fits.text_card("IMAGETYP", F.col("imagetyp")), fits.card("DETECTOR", F.col("detector")), fits.card("EXPTIME", F.col("exptime")))
     whole = t.frames(spark, d).withColumn("head", fits.header_bytes(cards))
     files = whole.select(F.col("file").alias("path"), F.encode(F.when(F.col("frame_id") % 97 == 0, F.substr("head", F.lit(1), F.lit(400))).otherwise(F.col("head")), "ISO-8859-1").alias("content"))
-    found = fits.scan_headers(written(files))
-    return found.select(F.col("path").alias("file"), F.col("cards")["IMAGETYP"].alias("imagetyp"), F.col("cards")["DETECTOR"].cast("long").alias("detector"), F.col("cards")["EXPTIME"].cast("double").alias("exptime"))
+    folder = products.fresh_folder(spark, "files")
+    fits.save_files(files, folder)
+    found = read_fits(spark, folder, keys=("IMAGETYP", "DETECTOR", "EXPTIME"))
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("IMAGETYP").alias("imagetyp"), F.col("DETECTOR").cast("long").alias("detector"), F.col("EXPTIME").cast("double").alias("exptime"))
+
+
+@query("refused_files", t.with_("frames") + "SELECT file, 'no END card' AS reason FROM frames WHERE frame_id % 97 = 0")
+def _(spark, d):
+    """The files that can't be read, with the reason."""
+    head = fits.header_bytes(F.array(fits.card("SIMPLE", F.lit("T")), fits.card("BITPIX", F.lit(16)), fits.card("NAXIS", F.lit(0))))
+    broken = F.when(F.col("frame_id") % 97 == 0, F.substr("head", F.lit(1), F.lit(160))).otherwise(F.col("head"))
+    folder = products.fresh_folder(spark, "files")
+    fits.save_files(t.frames(spark, d).withColumn("head", head).select(F.col("file").alias("path"), F.encode(broken, "ISO-8859-1").alias("content")), folder)
+    return read_fits(spark, folder, "refused").select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason")
 
 
-@query("scan_pixels", t.with_("pixels") + "SELECT frame_id, y, x, round(v, 6) + 0 AS v FROM pixels")
+@query("scan_pixels", t.with_("planted", "mosaic") + "SELECT frame_id, y, x, round(CAST(CAST(v AS FLOAT) AS DOUBLE), 4) + 0 AS v FROM mosaic WHERE y >= 8 AND y < 60")
 def _(spark, d):
-    files = fits.images(t.pixels(spark, d), F.format_string("img_%d.fits", "frame_id"))
-    rows = fits.scan_pixels(written(files)).select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("frame_id"), "y", F.posexplode("row").alias("x", "v"))
-    return rounded(rows, "v").select("frame_id", "y", "x", "v")
+    """The mosaics as files on disk; the rows asked for are all that is read of them."""
+    folder = products.fresh_folder(spark, "files")
+    fits.save_files(fits.images(t.mosaic(spark, d), F.format_string("img_%d.fits", "frame_id")), folder)
+    rows = read_fits(spark, folder, "pixels").where("y >= 8 AND y < 60").select(F.regexp_extract("path", r"(\d+)[.]fits$", 1).cast("long").alias("frame_id"), F.col("y").cast("long").alias("y"), F.posexplode("row").alias("x", "v"))
+    whole = rows.where("v IS NOT NULL").select("frame_id", "y", F.col("x").cast("long").alias("x"), "v")
+    return rounded(whole, "v", digits=4)
 
 
 def build_masters(bias: DataFrame, darks: DataFrame, flats: DataFrame, k: float = 5.0, k_flat: float = 3.0) -> DataFrame:

@@ -1,4 +1,5 @@
-"""FITS files as rows: headers by SQL functions over the files' bytes, pixels decoded row of pixels by row.
+"""FITS files as rows of bytes, for stores that only Spark's readers can open: headers by SQL functions over the files' bytes, pixels
+decoded row of pixels by row. Folders that all machines can open are read by fits_source.py.
 
 Files are rows (path, content), as `spark.read.format("binaryFile")` gives them. A file is damaged if it doesn't begin with
 SIMPLE, has no END card, or holds fewer bytes than its header says; such files have no header and no pixels here, and
@@ -14,9 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK, CARD = 2880, 80
-#: FITS numbers of bits per pixel, and what they stand for.
-KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
+from .fits_source import BLOCK, CARD, KINDS, file_system
 
 
 def read_files(spark: SparkSession, pattern: str) -> DataFrame:
@@ -24,6 +23,22 @@ def read_files(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path", "content")
 
 
+def save_files(files: DataFrame, folder: str) -> int:
+    """Write the files (path, content) into a folder that all machines share, each under its name; how many there were. A task that is run
+    again writes the same files again."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = file_system(folder)
+        fs.create_dir(root, recursive=True)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                with fs.open_output_stream(f"{root}/{path}") as out:
+                    out.write(content)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return files.select("path", "content").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def header_bytes(cards: Column) -> Column:
     """The header block of an array of cards, as text."""
     body = F.concat(F.array_join(F.transform(cards, lambda c: F.rpad(c, CARD, " ")), ""), F.rpad(F.lit("END"), CARD, " "))
@@ -39,12 +54,16 @@ def text_card(key: str, value: Column) -> Column:
     return F.concat(F.rpad(F.lit(key), 8, " "), F.lit("= '"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'"))
 
 
+#: A header of at most so many bytes is looked for.
+MOST = 100 * BLOCK
+
+
 def parsed(files: DataFrame) -> DataFrame:
     """path, content, cards (a map of text; the first of equal keys), start (of the data, in bytes), good."""
-    # one character for each byte, so that places in the text are places in the file
-    text = F.decode("content", "ISO-8859-1")
-    end = F.instr("text", "END" + " " * 77)
-    rows = files.withColumn("text", text).withColumn("end", F.when(F.col("text").startswith("SIMPLE  =") & (end % CARD == 1), end).otherwise(0))
+    # one character for each byte, so that places in the text are places in the file; the END card ends a run of whole cards
+    text = F.decode(F.substr("content", F.lit(1), F.lit(MOST)), "ISO-8859-1")
+    cards = F.regexp_extract("text", r"(?s)^SIMPLE  =.{71}(?:(?!END {77}).{80})*END {77}", 0)
+    rows = files.withColumn("text", text).withColumn("end", F.greatest(F.length(cards) - CARD + 1, F.lit(0)))
     lines = F.transform(F.sequence(F.lit(0), (F.col("end") / CARD).cast("int") - 1), lambda i: F.substr("text", i * CARD + 1, F.lit(CARD)))
     lines = F.filter(F.when(F.col("end") > CARD, lines).otherwise(F.array().cast("array<string>")), lambda c: F.substr(c, F.lit(9), F.lit(2)) == "= ")
     raw = lambda c: F.substr(c, F.lit(11))
@@ -55,7 +74,12 @@ def parsed(files: DataFrame) -> DataFrame:
     rows = rows.withColumn("cards", F.map_from_entries(first)).withColumn("start", (F.ceil((F.col("end") + CARD - 1) / BLOCK) * BLOCK).cast("long"))
     number = lambda k: F.coalesce(F.try_element_at("cards", F.lit(k)).try_cast("long"), F.lit(0).cast("long"))
     size = F.when(number("NAXIS") == 0, 0).otherwise(F.abs(number("BITPIX")) / 8 * number("NAXIS1") * F.greatest(number("NAXIS2"), F.lit(1)))
-    return rows.withColumn("good", F.coalesce((F.col("end") > 0) & (F.length("content") >= F.col("start") + size), F.lit(False))).drop("text", "end")
+    card_ = lambda k: F.try_element_at("cards", F.lit(k))
+    real = lambda k: card_(k).isNull() | F.translate(card_(k), "Dd", "EE").try_cast("double").isNotNull()
+    axis = lambda k: card_(k).try_cast("long") >= 0
+    # of the images only those of two axes are decoded here, so others are as good as damaged
+    readable = F.when(number("NAXIS") == 0, True).otherwise((number("NAXIS") == 2) & number("BITPIX").isin(*KINDS) & axis("NAXIS1") & axis("NAXIS2") & real("BSCALE") & real("BZERO"))
+    return rows.withColumn("good", F.coalesce((F.col("end") > 0) & readable & (F.length("content") >= F.col("start") + size), F.lit(False))).drop("text", "end")
 
 
 def scan_headers(files: DataFrame) -> DataFrame:
@@ -72,28 +96,36 @@ def scan_pixels(files: DataFrame) -> DataFrame:
     """path, unit ("adu" where none is given), y, row (array<double>) of every two-dimensional image; BZERO and BSCALE are applied."""
     rows = parsed(files).where("good AND try_element_at(cards, 'NAXIS') = '2'").select("path", "content", "cards", "start")
 
+    real = lambda text: float(text.replace("D", "E").replace("d", "e"))
+
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content, cards, start in batch.itertuples(index=False):
                 cards = dict(cards)
                 nx, ny = int(cards["NAXIS1"]), int(cards["NAXIS2"])
                 data = np.frombuffer(content, KINDS[int(cards["BITPIX"])], nx * ny, int(start)).reshape(ny, nx)
-                data = data.astype(float) * float(cards.get("BSCALE", 1)) + float(cards.get("BZERO", 0))
+                data = data.astype(float) * real(cards.get("BSCALE", "1")) + real(cards.get("BZERO", "0"))
                 yield pd.DataFrame({"path": path, "unit": cards.get("BUNIT") or "adu", "y": np.arange(ny, dtype=np.int32), "row": list(data)})
 
     return rows.mapInPandas(decode, "path string, unit string, y int, row array<double>")
 
 
 def images(pixels: DataFrame, path: Column) -> DataFrame:
-    """Files (path, content) of the images in pixels (frame_id, y, x, v), as 32-bit numbers; each frame is one file."""
+    """Files (path, content) of the images in pixels (frame_id, y, x, v), as 32-bit numbers; each frame is one file. Pixels that a frame
+    lacks, and null ones, are NaN."""
     at = F.struct("y", "x", F.col("v").cast("float").alias("v"))
     rows = pixels.groupBy("frame_id").agg(F.sort_array(F.collect_list(at)).alias("p"), (F.max("x") + 1).alias("nx"), (F.max("y") + 1).alias("ny"))
     cards = F.array(card("SIMPLE", F.lit("T")), card("BITPIX", F.lit(-32)), card("NAXIS", F.lit(2)), card("NAXIS1", F.col("nx")), card("NAXIS2", F.col("ny")))
-    rows = rows.select(path.alias("path"), header_bytes(cards).alias("head"), F.transform("p", lambda p: p["v"]).alias("v"))
+    place = F.transform("p", lambda p: p["y"].cast("long") * F.col("nx") + p["x"])
+    rows = rows.select(path.alias("path"), header_bytes(cards).alias("head"), place.alias("at"), F.transform("p", lambda p: p["v"]).alias("v"), (F.col("nx") * F.col("ny")).cast("long").alias("n"))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            body = [np.asarray(v, ">f4").tobytes() for v in batch["v"]]
+            body = []
+            for at, v, n in zip(batch["at"], batch["v"], batch["n"], strict=True):
+                image = np.full(n, np.nan, ">f4")
+                image[np.asarray(at, np.int64)] = np.asarray(v, float)
+                body.append(image.tobytes())
             yield pd.DataFrame({"path": batch["path"], "content": [h.encode() + b + b"\0" * (-len(b) % BLOCK) for h, b in zip(batch["head"], body, strict=True)]})
 
     return rows.mapInPandas(join, "path string, content binary")
