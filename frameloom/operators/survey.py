@@ -67,13 +67,46 @@ def nearest_dark(left: DataFrame, masters: DataFrame) -> DataFrame:
     return near.join(used.select("frame_id", "exp_gap"), "frame_id")
 
 
-def stack(pixels: DataFrame, keys: list[str], k: float) -> DataFrame:
-    """Median of each pixel over the frames within k robust deviations of their median.
+def large_groups(df: DataFrame, keys: list[str], most: int) -> DataFrame | None:
+    """The keys of groups of more than `most` rows, written; None if there are none."""
+    from .graphs import Steps
 
-    n is how many frames have a value, n_kept how many stay; a pixel that is null or NaN in all frames stays null. The values of a
-    pixel meet in one array, so a group of `keys` is to be the frames of one master, not an archive. The deviations are sorted in a step of their
-    own: SQL's optimiser would otherwise sort them again for every value that they are compared with.
+    found = Steps().write("large", df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(*keys))
+    return None if found.isEmpty() else found
+
+
+def stack(pixels: DataFrame, keys: list[str], k: float, most: int = 4096) -> DataFrame:
+    """Median of each pixel over the frames within k robust deviations (1.4826 times the median distance) of their median.
+
+    n is how many frames have a value, n_kept how many stay; a pixel that is null or NaN in all frames stays null. The values of a pixel are one
+    sorted array, if they are at most `most`; larger groups are stacked by counts (selection.medians), however large.
     """
+    large = large_groups(pixels, keys, most)
+    if large is None:
+        return _stack_arrays(pixels, keys, k)
+    same = [pixels[c].eqNullSafe(large[c]) for c in keys]
+    out = _stack_counts(pixels.join(large, same, "left_semi"), keys, k, most)
+    return out.unionByName(_stack_arrays(pixels.join(large, same, "left_anti"), keys, k))
+
+
+def _stack_counts(pixels: DataFrame, keys: list[str], k: float, most: int) -> DataFrame:
+    from .selection import medians
+
+    rows = pixels.select(*keys, F.nanvl(F.col("v").cast("double"), F.lit(None)).alias("v"))
+    at = lambda df, name: df.withColumnsRenamed({c: f"_{name}_{c}" for c in keys} | {"median": name})
+    on = lambda name: [F.col(c).eqNullSafe(F.col(f"_{name}_{c}")) for c in keys]
+    middle = at(medians(rows, keys, "v", most), "m")
+    near = rows.join(middle, on("m"), "left").withColumn("d", F.abs(F.col("v") - F.col("m")))
+    spread = at(medians(near, keys, "d", most), "s")
+    both = near.join(spread, on("s"), "left").withColumn("kept", F.when(F.col("d") <= k * 1.4826 * F.col("s"), F.col("v"))).select(*keys, "v", "kept")
+    value = at(medians(both, keys, "kept", most), "out")
+    counts = both.groupBy(*keys).agg(F.count("v").cast("int").alias("n"), F.count("kept").cast("int").alias("n_kept"))
+    return counts.join(value, on("out"), "left").select(*keys, F.col("out").alias("v"), "n", "n_kept")
+
+
+def _stack_arrays(pixels: DataFrame, keys: list[str], k: float) -> DataFrame:
+    """The deviations are sorted in a step of their own: SQL's optimiser would otherwise sort them again for every value that they are
+    compared with."""
     rows = pixels.select(*keys, F.nanvl(F.col("v").cast("double"), F.lit(None)).alias("v")).groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("vs"))
     middle = lambda a: f"CASE WHEN size({a}) > 0 THEN ({a}[cast((size({a}) - 1) div 2 AS int)] + {a}[cast(size({a}) div 2 AS int)]) / 2 END"
     # an explode of one element keeps what it holds from being worked out again in what follows
@@ -85,8 +118,13 @@ def stack(pixels: DataFrame, keys: list[str], k: float) -> DataFrame:
     return rows.select(*keys, F.expr(middle("kept")).alias("v"), F.size("vs").alias("n"), F.size("kept").alias("n_kept"))
 
 
-def clip_bounds(df: DataFrame, keys: list[str], col: str, k: float, rounds: int) -> DataFrame:
-    """keys, lo and hi of each group after some rounds of clipping, from one sorted array of a group's values."""
+def clip_bounds(df: DataFrame, keys: list[str], col: str, k: float, rounds: int, most: int | None = None) -> DataFrame:
+    """keys, lo and hi of each group after some rounds of clipping, from one sorted array of a group's values; with `most`, groups of more
+    rows are clipped round by round, by counts."""
+    large = None if most is None else large_groups(df, keys, most)
+    if large is not None:
+        same = [df[c].eqNullSafe(large[c]) for c in keys]
+        return _clip_counts(df.join(large, same, "left_semi"), keys, col, k, rounds, most).unionByName(clip_bounds(df.join(large, same, "left_anti"), keys, col, k, rounds))
     values = df.where(F.col(col).isNotNull() & ~F.isnan(col)).groupBy(*keys).agg(F.sort_array(F.collect_list(F.col(col).cast("double"))).alias("vs"))
     once = lambda rows, name, value: rows.withColumn(name, F.explode(F.array(value)))
     rows = values.select(*keys, "vs", F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"))
@@ -103,13 +141,31 @@ def clip_bounds(df: DataFrame, keys: list[str], col: str, k: float, rounds: int)
     return rows.drop("vs")
 
 
-def sigma_clip(df: DataFrame, keys: list[str], col: str, k: float = 3.0, rounds: int = 5) -> DataFrame:
-    """The rows that stay within k population deviations of the median, over some rounds.
+def _clip_counts(df: DataFrame, keys: list[str], col: str, k: float, rounds: int, most: int) -> DataFrame:
+    from .graphs import Steps
+    from .selection import clean, medians
+
+    rows, steps = clean(df, keys, col), Steps()
+    bounds = rows.select(*keys).distinct().withColumns({"lo": F.lit(float("-inf")), "hi": F.lit(float("inf"))})
+    for turn in range(rounds):
+        old = bounds.withColumnsRenamed({c: f"_{c}" for c in (*keys, "lo", "hi")})
+        kept = rows.join(old, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]).where("v >= _lo AND v <= _hi").select(*keys, "v")
+        facts = kept.groupBy(*keys).agg(F.stddev_pop("v").alias("s")).join(medians(kept, keys, "v", most).withColumnsRenamed({c: f"_m_{c}" for c in keys}), [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in keys])
+        new = facts.select(*keys, (F.col("median") - k * F.col("s")).alias("lo"), (F.col("median") + k * F.col("s")).alias("hi"))
+        # the next round's values lie within both rounds' bounds
+        now = new.join(old, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]).select(*keys, F.greatest("lo", "_lo").alias("lo"), F.least("hi", "_hi").alias("hi"))
+        bounds = steps.write(f"bounds{turn}", now)
+    return bounds
+
+
+def sigma_clip(df: DataFrame, keys: list[str], col: str, k: float = 3.0, rounds: int = 5, most: int | None = None) -> DataFrame:
+    """The rows that stay within k population deviations of the median, over some rounds. A group's values are one sorted array, unless `most` is
+    given: groups of more rows are then clipped by counts.
 
     Null and NaN values go; so does a group of such values only. Every round only narrows an interval, so the rounds are worked out on the
     sorted values of each group, and the rows read a second time to be held against the last bounds.
     """
-    bounds = clip_bounds(df, keys, col, k, rounds).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+    bounds = clip_bounds(df, keys, col, k, rounds, most).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
     return df.join(bounds, keys).where((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))).drop("_lo", "_hi")
 
 
