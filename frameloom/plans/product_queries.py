@@ -9,7 +9,7 @@ from ..operators import survey as ops
 from ..sources import fits, products
 from ..sources import tables as t
 from ..sources.fits_source import read_fits
-from .survey_queries import DARK, QUERIES, SQL, SUB, _duck_stack, _i, _j, _minus_bias, _minus_dark, query, rounded
+from .survey_queries import QUERIES, SQL, _duck_stack, query, rounded
 
 
 @query("scan_headers", t.with_("frames") + "SELECT file, imagetyp, detector, exptime FROM frames WHERE frame_id % 97 <> 0")
@@ -44,39 +44,6 @@ def _(spark, d):
     return rounded(whole, "v", digits=4)
 
 
-def build_masters(bias: DataFrame, darks: DataFrame, flats: DataFrame, k: float = 5.0, k_flat: float = 3.0) -> DataFrame:
-    """imagetyp, grp, y, x, v, n, n_kept of all masters, from bias frames, bias-free darks, and flats free of bias and dark.
-
-    Flats are brought to one level by the median of each frame before they are stacked; a frame whose median is 0 or null
-    takes no part.
-    """
-    scale = flats.groupBy("frame_id").agg(F.try_divide(F.lit(1.0), F.median("v")).alias("s")).where("s IS NOT NULL")
-    level = flats.join(scale, "frame_id").select("grp", "y", "x", (F.col("v") * F.col("s")).alias("v"))
-    parts = [(ops.stack(bias.withColumn("grp", F.lit(-1)), ["grp", "y", "x"], k), "BIAS"), (ops.stack(darks, ["grp", "y", "x"], k), "DARK"), (ops.stack(level, ["grp", "y", "x"], k_flat), "FLAT")]
-    out = None
-    for part, kind in parts:
-        named = part.withColumn("imagetyp", F.lit(kind))
-        out = named if out is None else out.unionByName(named)
-    return out
-
-
-def _masters(spark, d):
-    flats = _minus_dark(spark, d).where("grp > 2").select("frame_id", "grp", "y", "x", (F.col("v") + 5).alias("v"))
-    return build_masters(t.pixels(spark, d).where("grp = 0"), _minus_bias(spark, d).where("grp = 1"), flats)
-
-
-_kind = "round(v, 6) + 0 AS v, CAST(n AS INT) AS n, CAST(n_kept AS INT) AS n_kept"
-MASTERS = f"""
-  SELECT 'BIAS' AS imagetyp, -1 AS grp, y, x, {_kind} FROM ({t.with_("pixels")}, b AS (SELECT * FROM pixels WHERE grp = 0), {_duck_stack("b", "y, x", 5)} SELECT * FROM stacked)
-  UNION ALL SELECT 'DARK', grp, y, x, {_kind} FROM ({t.with_("pixels")}, {SUB}, k AS (SELECT * FROM sub WHERE grp = 1), {_duck_stack("k", "grp, y, x", 5)} SELECT * FROM stacked)
-  UNION ALL SELECT 'FLAT', grp, y, x, {_kind} FROM ({t.with_("pixels")}, {DARK}, f AS (SELECT frame_id, grp, y, x, v + 5 AS v FROM dsub WHERE grp > 2), sc AS (SELECT frame_id, 1 / median(v) AS sc FROM f GROUP BY ALL), fl AS (SELECT grp, y, x, v * sc AS v FROM f JOIN sc USING (frame_id)), {_duck_stack("fl", "grp, y, x", 3)} SELECT * FROM stacked)"""
-
-
-@query("build_masters", MASTERS)
-def _(spark, d):
-    return rounded(_masters(spark, d), "v").select("imagetyp", "grp", "y", "x", "v", "n", "n_kept")
-
-
 @query("write_masters", t.with_("pixels") + f""", nights AS (SELECT *, CAST(20240101 + frame_id % 3 AS INT) AS obsdate FROM pixels WHERE grp < 4), late AS (SELECT * REPLACE (v + 1 AS v) FROM nights WHERE obsdate = 20240102 AND grp = 2), used AS (SELECT * FROM nights WHERE NOT (obsdate = 20240102 AND grp = 2) UNION ALL SELECT * FROM late),
   {_duck_stack("used", "obsdate, grp, y, x", 5)} SELECT 'DARK' AS imagetyp, grp, obsdate, y, x, round(v, 6) + 0 AS v, CAST(n AS INT) AS n FROM stacked""")
 def _(spark, d):
@@ -90,11 +57,11 @@ def _(spark, d):
     return rounded(products.read_masters(spark, path), "v")
 
 
-@query("write_level1", f"WITH c AS ({SQL['correct_level1']}), {t.with_('frames')[5:]} SELECT c.frame_id, y, x, CASE WHEN c.frame_id % 10 = 3 THEN -1 ELSE v END AS v, bits, CAST(strftime(obs_ts, '%Y%m%d') AS INT) AS obsdate, 'kl4040.sci.lv1.' || c.frame_id || '.fits' AS lv1_name FROM c JOIN frames USING (frame_id)")
+@query("write_level1", f"WITH c AS ({SQL['correct_flat_chain']}), {t.with_('frames')[5:]} SELECT c.frame_id, y, x, CASE WHEN c.frame_id % 10 = 3 THEN -1 ELSE v END AS v, bits, CAST(strftime(obs_ts, '%Y%m%d') AS INT) AS obsdate, 'kl4040.sci.lv1.' || c.frame_id || '.fits' AS lv1_name FROM c JOIN frames USING (frame_id)")
 def _(spark, d):
     """Corrected frames with their names, then every tenth frame again: the others of its day stay."""
     day = t.frames(spark, d).select("frame_id", F.date_format("obs_ts", "yyyyMMdd").cast("int").alias("obsdate"), F.format_string("kl4040.sci.lv1.%d.fits", "frame_id").alias("lv1_name"))
-    rows = QUERIES["correct_level1"](spark, d).join(day, "frame_id")
+    rows = QUERIES["correct_flat_chain"](spark, d).join(day, "frame_id")
     path = products.fresh_folder(spark, "level1")
     products.write_level1(rows, path)
     products.write_level1(products.read_level1(spark, path).where("frame_id % 10 = 3").withColumn("v", F.lit(-1.0)), path)

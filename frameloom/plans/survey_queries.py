@@ -237,7 +237,7 @@ def _(spark, d):
 MASK = "CASE WHEN raw >= 0.3 THEN 1 ELSE 0 END + CASE WHEN least(x, 7 - x, y, 7 - y) < 1 THEN 2 ELSE 0 END + CASE WHEN v < 0 THEN 4 ELSE 0 END"
 
 
-@query("correct_level1", t.with_("pixels") + f""", {DARK}, {FLAT}, c AS (SELECT p.frame_id, p.y, p.x, q.v AS raw, p.v, p.v / (f / mf) AS cor FROM dsub p JOIN flat ON p.y = flat.y AND p.x = flat.x JOIN pixels q ON p.frame_id = q.frame_id AND p.y = q.y AND p.x = q.x, mean WHERE p.grp > 2)
+@query("correct_flat_chain", t.with_("pixels") + f""", {DARK}, {FLAT}, c AS (SELECT p.frame_id, p.y, p.x, q.v AS raw, p.v, p.v / (f / mf) AS cor FROM dsub p JOIN flat ON p.y = flat.y AND p.x = flat.x JOIN pixels q ON p.frame_id = q.frame_id AND p.y = q.y AND p.x = q.x, mean WHERE p.grp > 2)
   SELECT frame_id, y, x, round(cor, 6) + 0 AS v, {MASK} + CASE WHEN cor <= 0 THEN 8 ELSE 0 END AS bits FROM c""")
 def _(spark, d):
     raw = t.pixels(spark, d).select("frame_id", "y", "x", F.col("v").alias("raw"))
@@ -289,13 +289,6 @@ def _(spark, d):
     return rounded(ops.stack(px.join(scale, "frame_id").select("grp", "y", "x", (F.col("v") * F.col("s")).alias("v")), ["grp", "y", "x"], 3), "v")
 
 
-@query("mask_outliers", t.with_("pixels") + ", b AS (SELECT frame_id, median(v) AS m, stddev_pop(v) AS s FROM pixels GROUP BY ALL) SELECT frame_id, y, x, round(CASE WHEN abs(v - m) <= 2 * s THEN v END, 6) + 0 AS v FROM pixels JOIN b USING (frame_id)")
-def _(spark, d):
-    px = t.pixels(spark, d)
-    b = px.groupBy("frame_id").agg(F.median("v").alias("m"), F.stddev_pop("v").alias("s"))
-    return rounded(px.join(b, "frame_id").select("frame_id", "y", "x", F.when(F.abs(F.col("v") - F.col("m")) <= 2 * F.col("s"), F.col("v")).alias("v")), "v")
-
-
 # --- joins ---------------------------------------------------------------------------------------------------------------
 def _of_type(spark, d, kind):
     return t.frames(spark, d).where(F.col("imagetyp") == kind)
