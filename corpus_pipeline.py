@@ -3,11 +3,13 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept, and returns the columns of
 documents (the last one: pieces). Defined cases are those of the operators; besides: a group of near duplicates keeps its
 smallest id (null ids come last), of rows that agree in id and text one stays, and different texts of one id are different
-documents. Stages may be called on their own: a stage deletes the intermediate tables of the stage called before it.
+documents. Stages may be called on their own or one on the other: a stage deletes the intermediate tables of the stage that its thread called
+before it, unless its documents are still to be computed from them. An empty table goes through all stages; null texts and other columns stay.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import wraps
 
@@ -22,25 +24,37 @@ from frameloom.llm.packing import pack
 from frameloom.llm.pii import redact
 
 
-_last: list[str] = []
+class _Last(threading.local):
+    """The tables of the stage that this thread called last."""
 
+    def __init__(self) -> None:
+        self.paths: list[str] = []
 
-def stage(first: bool = False) -> Callable:
-    """A stage begins when the one before it is written, so that one's intermediate tables are deleted then."""
 
-    def around(work: Callable) -> Callable:
-        @wraps(work)
-        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            if not first:
-                clear(spark, _last)
-            before = set(kept())
-            out = work(spark, docs, sf_dir)
-            _last[:] = [x for x in kept() if x not in before]
-            return out
+_last = _Last()
 
-        return run_stage
 
-    return around
+def _reads(docs: DataFrame, paths: list[str]) -> bool:
+    """Whether docs are still to be computed from one of these tables."""
+    names = {p.rstrip("/").rsplit("/", 1)[-1] for p in paths}
+    return bool(names) and any(part in names for f in docs.inputFiles() for part in f.split("/"))
+
+
+def stage(work: Callable) -> Callable:
+    """A stage begins when the one before it is written, so that one's intermediate tables are deleted then, unless the documents it is given
+    read them still (stages called one on the other); those stay until a later stage no longer needs them."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not _reads(docs, _last.paths):
+            clear(spark, _last.paths)
+            _last.paths = []
+        before = set(kept())
+        out = work(spark, docs, sf_dir)
+        _last.paths = [*_last.paths, *(x for x in kept() if x not in before)]
+        return out
+
+    return run_stage
 
 
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -50,19 +64,23 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(*columns)
 
 
-@stage(first=True)
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts. Without labels of both kinds all are; null and empty texts are judged by their counts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classify(docs, labels, *sites_of(docs)).where("accepted").select(*docs.columns)
 
 
-@stage()
+@stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat an earlier one, exactly or nearly; a text that loses all its lines stays as an empty one."""
     return _measured(line_dedup(docs), docs.columns)
 
 
-@stage()
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: 80 % of the shingles of five words, linked through any number of others. Texts without words are no duplicates, unless
+    their rows agree in id and text."""
     # rows are told apart by id and text, as ids may repeat or be null; equal rows are one
     key = F.xxhash64(F.col("doc_id"), F.col("text"))
     groups = keep(ngram_groups(docs.select(key.alias("key"), "text"), id_col="key", width=5, num=80), "groups")
@@ -82,13 +100,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return left.select(*docs.columns)
 
 
-@stage()
+@stage
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by their kind; null stays null."""
     return _measured(redact(docs), docs.columns)
 
 
-@stage()
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1,024 tokens, placed in sequences; a null or empty text is the end token alone."""
     return pack(docs)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_kept: list[str] = []
+class _Kept(threading.local):
+    """The tables that this thread has written, so that runs in several threads leave each other's alone."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_own = _Kept()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,8 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def kept() -> list[str]:
-    """The tables that were written so far and not deleted."""
-    return list(_kept)
+    """The tables that this thread has written so far and not deleted."""
+    return list(_own.paths)
 
 
 def clear(spark: SparkSession, paths: list[str]) -> None:
@@ -36,8 +44,8 @@ def clear(spark: SparkSession, paths: list[str]) -> None:
     for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
-        if name in _kept:
-            _kept.remove(name)
+        if name in _own.paths:
+            _own.paths.remove(name)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -48,7 +56,7 @@ def keep(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, name)
     schema = df.schema
-    _kept.append(path)
+    _own.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
