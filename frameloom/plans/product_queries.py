@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import survey as ops
 from ..sources import fits, products
 from ..sources import tables as t
+from ..sources.catalogue import read_catalog, write_catalog
 from ..sources.fits_source import read_fits
 from .survey_queries import QUERIES, SQL, _duck_stack, query, rounded
 
@@ -86,3 +87,11 @@ def _(spark, d):
     products.write_zeropoints(rows.withColumn("obsdate", F.lit(20240101)), path)
     products.write_zeropoints(rows.where("frame_id % 7 = 2").withColumns({"zp": F.lit(99.0), "obsdate": F.lit(20240102)}), path)
     return products.apply_updates(t.frames(spark, d).select("frame_id", "file"), products.read_zeropoints(spark, path), ["zp", "zp_err", "n"])
+
+
+@query("read_catalog", t.with_("stars") + "SELECT star_id, ra, dec, CAST(floor((dec + 90) / 5) AS INT) AS dec_band FROM stars WHERE dec BETWEEN -31.5 AND 12.25 AND (ra >= 350 OR ra <= 40.5)")
+def _(spark, d):
+    """A catalogue written by bands, and a box across right ascension 0 of it."""
+    path = products.fresh_folder(spark, "catalogue")
+    write_catalog(t.stars(spark, d).select("star_id", "ra", "dec"), path)
+    return read_catalog(spark, path, -31.5, 12.25, 350.0, 40.5).select("star_id", "ra", "dec", "dec_band")

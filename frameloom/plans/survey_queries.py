@@ -143,7 +143,6 @@ formulas("mag_range", "stars", "star_id", {"mag": "mag"}, "mag > 13.0 AND mag <
 formulas("image_bounds", "stars", "star_id", {"x": "x", "y": "y"}, f"x BETWEEN -10 AND {SIZE - 800} AND y BETWEEN -10 AND {SIZE - 800}")
 formulas("edge_exclusion", "sources", "src_id", {"gap": _edge}, f"{_edge} > 7 * 2.5")
 formulas("sky_box", "stars", "star_id", {"ra": "ra", "dec": "dec"}, "(ra >= 355.0 - 0.1 OR ra <= 5.0 + 0.1) AND dec BETWEEN -40.1 AND 40.1")
-formulas("read_catalog", "stars", "star_id", {"ra": "ra", "dec": "dec", "band": "cast(floor(dec / 5) AS int)"})
 
 
 @query("pixel_error", t.with_("pixels") + f"SELECT frame_id, y, x, round({fx.pixel_error('1000 * v')}, 6) AS err FROM pixels")
