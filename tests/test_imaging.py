@@ -81,3 +81,14 @@ def test_psf_map_of_planted_stars(spark):
     got = im.psf_map(spark.createDataFrame(data, "frame_id long, y long, x long, v double"), at, 32, half=5).orderBy("j", "i").collect()
     assert [(r["j"], r["i"], r["n_star"], r["x_center"]) for r in got] == [(0, 0, 2, 16.0), (1, 1, 1, 48.0)]
     assert all(abs(r["fwhm_median"] - 2.3548 * 1.2) < 0.02 and len(r["psf"]) == 121 for r in got)
+
+
+def test_merging_boxes_takes_few_rounds(spark, monkeypatch):
+    """A chain of boxes, each overlapping its neighbours only, and many copies about one place."""
+    boxes = [(4.0 * i, 4.0 * i + 5, 0.0, 5.0) for i in range(60)] + [(300 + i / 1e4, 301 + i / 1e4, -50.0, -49.0) for i in range(3000)] + [(350.0, 350.0, 7.0, 7.0)] * 2
+    rounds = []
+    write = im.Steps.write
+    monkeypatch.setattr(im.Steps, "write", lambda self, name, df: (rounds.append(name), write(self, name, df))[1])
+    got = im.merge_boxes(spark.createDataFrame(boxes, "ra1 double, ra2 double, dec1 double, dec2 double"))
+    assert sorted(tuple(r) for r in got.select("ra1", "ra2", "dec1", "dec2", "n").collect()) == [(0.0, 241.0, 0.0, 5.0, 60), (300.0, 301.2999, -50.0, -49.0, 3000), (350.0, 350.0, 7.0, 7.0, 2)]
+    assert rounds.count("now") <= 8
