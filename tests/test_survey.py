@@ -77,3 +77,34 @@ def test_nearest_on_sky_goes_on_to_the_whole_sky(spark):
     stars = spark.createDataFrame([(8, 10.2, 5.0), (9, 30.0, 60.0)], "star_id long, ra double, dec double")
     got = {r["eph_id"]: (r["star_id"], round(r["dist"] / 3600)) for r in ops.nearest_on_sky(targets, stars, 1.0).collect()}
     assert got == {1: (8, 0), 2: (9, 123), 3: (9, 30)} and ops.nearest_on_sky(targets, stars.limit(0), 1.0).count() == 0
+
+
+def test_copies_of_targets_and_stars_meet_once(spark, monkeypatch):
+    """Targets and stars at few places: each place is compared once, in cells for the places' density, and every target has its star."""
+    rng = random.Random(8)
+    spots = [(rng.uniform(0, 360), math.degrees(math.asin(rng.uniform(-1, 1)))) for _ in range(2000)]
+    stars = spark.createDataFrame([(k, *spots[k % 2000]) for k in range(6000)], "star_id long, ra double, dec double")
+    targets = spark.createDataFrame([(k, *spots[k % 40]) for k in range(800)], "eph_id long, ra double, dec double")
+    seen = []
+    within = ops.nearest_within
+    monkeypatch.setattr(ops, "nearest_within", lambda t, s, r: (seen.append((t.count(), s.count(), r)), within(t, s, r))[1])
+    got = {r["eph_id"]: r["star_id"] for r in ops.nearest_on_sky(targets, stars, 30.0).collect()}
+    assert got == {k: k % 40 for k in range(800)}
+    assert seen[0][:2] == (40, 2000) and 4 < seen[0][2] < 5
+
+
+def test_copies_of_fields_and_stars_are_projected_once(spark, monkeypatch):
+    rng = random.Random(9)
+    sky = [(rng.uniform(9, 12), rng.uniform(-2, 2), i % 5 == 0) for i in range(150)]
+    stars = [(i, a, d, 13.0) for i, (a, d, _) in enumerate(sky)] + [(1000 + i, a, d, 14.0) for i, (a, d, twice) in enumerate(sky) if twice]
+    s = spark.createDataFrame(stars, "star_id long, ra double, dec double, mag double")
+    f = spark.createDataFrame([(k, 10.0 + k % 2, 0.0) for k in range(30)], "field_id long, ra double, dec double")
+    seen = []
+    pairs = ops.pairs_within
+    monkeypatch.setattr(ops, "pairs_within", lambda a, b, *rest, **named: (seen.append(b.count()), pairs(a, b, *rest, **named))[1])
+    got = {(r["field_id"], r["star_id"]) for r in ops.isolated_in_fields(s, f, 0.002, 1024, 40.0).collect()}
+    inside = {}
+    for r in ops.in_fields(s, f, 0.002, 1024).collect():
+        inside.setdefault(r["field_id"], []).append(r)
+    want = {(k, a["star_id"]) for k, here in inside.items() for a in here if all(a["star_id"] == b["star_id"] or math.hypot(a["x"] - b["x"], a["y"] - b["y"]) >= 40 for b in here)}
+    assert got == want and len(want) > 30 and seen[0] < sum(map(len, inside.values())) / 15
