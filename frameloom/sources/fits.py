@@ -8,6 +8,7 @@ SIMPLE, has no END card, or holds fewer bytes than its header says; such files h
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +24,24 @@ def read_files(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path", "content")
 
 
+FOLDERS = 1024
+
+
 def save_files(files: DataFrame, folder: str) -> int:
-    """Write the files (path, content) into a folder that all machines share, each under its name; how many there were. A task that is run
-    again writes the same files again."""
+    """Write the files (path, content) into a folder that all machines share, each under its name in one of FOLDERS folders (by the name's
+    CRC-32), which can be listed by many tasks; how many there were. A task that is run again writes the same files again."""
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, root = file_system(folder)
         fs.create_dir(root, recursive=True)
+        made = set()
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                with fs.open_output_stream(f"{root}/{path}") as out:
+                place = f"{root}/{zlib.crc32(path.encode()) % FOLDERS:04d}"
+                if place not in made:
+                    fs.create_dir(place, recursive=True)
+                    made.add(place)
+                with fs.open_output_stream(f"{place}/{path}") as out:
                     out.write(content)
             yield pd.DataFrame({"n": [len(batch)]})
 

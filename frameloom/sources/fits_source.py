@@ -5,7 +5,8 @@ table=pixels: path, hdu, unit ("adu" where none is given), plane, y, row (array<
 BZERO are applied, and BLANK and NaN are null. table=refused: path, hdu, reason, for what can't be read.
 
 Files are split by bytes: a task gets small files together, or a range of rows of a large file's images, and reads the header blocks
-and its own rows only. The option `keys` (comma-separated) adds those cards as text columns. Filters by equality or IN on path, hdu and these
+and its own rows only. Of headers and refused files, the driver lists the folder's own files and the names of its subfolders only; the
+subfolders are dealt to tasks (DEALT at most), which list them one after another, so millions of files belong in subfolders. Pixels need all sizes first. The option `keys` (comma-separated) adds those cards as text columns. Filters by equality or IN on path, hdu and these
 columns, and comparisons with y, are pushed down: a file whose path doesn't match is not opened, pixels of an image whose header doesn't match
 are not read, and rows of pixels beyond the bounds aren't either.
 
@@ -27,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
-BLOCK, CARD = 2880, 80
+BLOCK, CARD, DEALT = 2880, 80, 256
 #: FITS numbers of bits per pixel, and what they stand for.
 KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 SCHEMAS = {
@@ -176,9 +177,10 @@ def image_rows(f, unit: Unit, low: int, high: int, most: int = 4 << 20) -> Itera
 
 @dataclass
 class Piece(InputPartition):
-    """Files, each with which part of how many of its rows."""
+    """Files, each with which part of how many of its rows, and folders whose files are listed by the task."""
 
     files: list[tuple[str, int, int, int]] = field(default_factory=list)
+    folders: list[str] = field(default_factory=list)
 
 
 class FitsReader(DataSourceReader):
@@ -206,17 +208,21 @@ class FitsReader(DataSourceReader):
             else:
                 yield f
 
-    def listed(self) -> list[tuple[str, int]]:
-        """Path and size of the files that the path filter lets through."""
-        fs, root = file_system(self.path)
+    def wanted(self, x: pafs.FileInfo) -> bool:
+        """Whether it is a file that the name pattern and the path filter let through."""
+        return x.is_file and fnmatch.fnmatch(x.base_name, self.glob) and not x.base_name.startswith(("_", ".")) and ("path" not in self.equal or x.path in self.equal["path"])
+
+    def listed(self, path: str, recursive: bool) -> tuple[list[tuple[str, int]], list[str]]:
+        """Path and size of the files that the path filter lets through, and the folders."""
+        fs, root = file_system(path)
         info = fs.get_file_info(root)
-        found = [info] if info.is_file else fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
-        names = [(x.path, x.size) for x in found if x.is_file and fnmatch.fnmatch(x.base_name, self.glob) and not x.base_name.startswith(("_", "."))]
-        return sorted(x for x in names if "path" not in self.equal or x[0] in self.equal["path"])
+        found = [info] if info.is_file else fs.get_file_info(pafs.FileSelector(root, recursive=recursive, allow_not_found=True))
+        return sorted((x.path, x.size) for x in found if self.wanted(x)), sorted(x.path for x in found if x.type == pafs.FileType.Directory)
 
     def partitions(self) -> list[Piece]:
         out, room = [], 0
-        for name, size in self.listed():
+        files, folders = self.listed(self.path, self.table == "pixels")
+        for name, size in files:
             parts = max(1, -(-size // self.split)) if self.table == "pixels" else 1
             cost = max(size // parts, BLOCK) if self.table == "pixels" else 4 * BLOCK
             for part in range(parts):
@@ -225,8 +231,19 @@ class FitsReader(DataSourceReader):
                     room = self.split
                 out[-1].files.append((name, size, part, parts))
                 room -= cost
+        if self.table != "pixels" and folders:
+            out += [Piece(folders=folders[k::DEALT]) for k in range(min(DEALT, len(folders)))]
         return out
 
+    def files_of(self, piece: Piece) -> Iterator[tuple[str, int, int, int]]:
+        yield from piece.files
+        fs, _ = file_system(self.path)
+        for folder in piece.folders:
+            found = fs.get_file_info(pafs.FileSelector(folder, recursive=True))
+            for x in found:
+                if self.wanted(x):
+                    yield x.path, x.size, 0, 1
+
     def fits(self, unit: Unit) -> bool:
         """Whether the filters on hdu and keys let the unit through."""
         return all((unit.hdu if name == "hdu" else unit.cards.get(name)) in values for name, values in self.equal.items() if name != "path")
@@ -263,7 +280,7 @@ class FitsReader(DataSourceReader):
         fs, _ = file_system(self.path)
         schema = pa.schema([*ARROW[self.table], *((k, pa.string()) for k in self.keys if self.table != "refused")])
         rows, size = [], 0
-        for name, total, part, parts in partition.files if partition else ():
+        for name, total, part, parts in self.files_of(partition) if partition else ():
             hdu = -1
             try:
                 with fs.open_input_file(name) as f:

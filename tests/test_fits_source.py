@@ -106,3 +106,22 @@ def test_large_image_is_many_tasks(spark, tmp_path):
     rows = {r["y"]: r["row"] for r in df.where(F.col("path").endswith("large.fits")).collect()}
     assert len(rows) == 500 and rows[499][39] == 19999.0
     assert fs.read_fits(spark, str(tmp_path / "none"), "headers").count() == 0
+
+
+def test_files_in_subfolders_are_listed_by_tasks(spark, tmp_path):
+    """What the driver plans with doesn't grow with the files, and none is lost; pixels are found there, too."""
+    import pickle
+
+    from frameloom.sources import fits
+
+    names = [f"f{k}.fits" for k in range(3000)]
+    rows = spark.range(3000).select(F.format_string("f%d.fits", "id").alias("path"), F.when(F.col("id") % 100 == 0, F.lit(b"SIMPLE  = T")).otherwise(F.lit(head("BITPIX  = 8", "NAXIS   = 0"))).alias("content"))
+    assert fits.save_files(rows, str(tmp_path)) == 3000
+    plan = fs.FitsReader({"path": str(tmp_path), "table": "headers"}).partitions()
+    assert len(pickle.dumps(plan)) < 100 * fits.FOLDERS + 10_000 and len(plan) <= fs.DEALT and not any(p.files for p in plan)
+    base = lambda table: sorted(r["name"] for r in read(spark, str(tmp_path), table).select("name").collect())
+    assert base("headers") == sorted(n for k, n in enumerate(names) if k % 100) and base("refused") == sorted(n for k, n in enumerate(names) if k % 100 == 0)
+    nested = tmp_path / "a" / "b"
+    nested.mkdir(parents=True)
+    (nested / "deep.fits").write_bytes(head(*axes(2, 2)) + padded(b"\0" * 8))
+    assert read(spark, str(tmp_path), "headers").where("name = 'deep.fits'").count() == 1 and read(spark, str(tmp_path), "pixels").count() == 2
