@@ -108,3 +108,18 @@ def test_copies_of_fields_and_stars_are_projected_once(spark, monkeypatch):
         inside.setdefault(r["field_id"], []).append(r)
     want = {(k, a["star_id"]) for k, here in inside.items() for a in here if all(a["star_id"] == b["star_id"] or math.hypot(a["x"] - b["x"], a["y"] - b["y"]) >= 40 for b in here)}
     assert got == want and len(want) > 30 and seen[0] < sum(map(len, inside.values())) / 15
+
+
+def test_isolated_meets_few_cells_in_tasks_by_rows(spark, monkeypatch):
+    """Places on the borders of cells and on either side of 0 against brute force; a place goes to the cells it can reach, and rows that are
+    alike are spread over tasks by their number."""
+    rng = random.Random(17)
+    rows = [(i % 3, i, rng.choice((-120.0, -60.0, 0.0, 45.0, 60.0)) + rng.choice((-15.0, -0.5, 0.0, 14.9, 15.0, 30.0)), rng.uniform(-200, 200)) for i in range(400)] + [(0, 900, None, 1.0), (0, 901, 1.0, None)]
+    df = spark.createDataFrame(rows, "frame_id long, star_id long, x double, y double")
+    here = [r for r in rows if r[2] is not None and r[3] is not None]
+    near = {(a[0], a[1]) for a in here for b in here if a[0] == b[0] and a[1] != b[1] and math.hypot(a[2] - b[2], a[3] - b[3]) < 15}
+    assert {(r["frame_id"], r["star_id"]) for r in ops.isolated(df, 15.0).collect()} == {(r[0], r[1]) for r in rows} - near and near
+    many = spark.range(250_000).select(F.lit(1).cast("long").alias("frame_id"), F.col("id").alias("star_id"), (F.col("id") * 100.0).alias("x"), F.lit(0.0).alias("y"))
+    plan = ops.isolated(many, 15.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and ", 3" in plan
+    assert ops.cells(many, 60.0, reach=15.0).count() < 4 * 250_000
