@@ -20,3 +20,14 @@ def test_headers_land_on_one_side(spark):
     assert (last["exptime"], last["object"], last["mid_us"]) == (0.0, "Unknown", last["end_us"])
     both = hd.normalized(df)
     assert hd.kept(both).count() + hd.quarantine(both).count() == 11 and hd.normalized(df.limit(0)).count() == 0
+
+
+def test_cards_are_made_once(spark):
+    """A filter on the reason is pushed down without the map that the cards are made of."""
+    from pyspark.sql import functions as F
+
+    cards = F.create_map(F.lit("EXPTIME"), F.col("id").cast("string"), F.lit("UTC"), F.lit("2024-01-02T00:00:10"), F.lit("NAXIS1"), F.lit("64"), F.lit("NAXIS2"), F.lit("64"))
+    rows = hd.normalized(spark.range(5).select(F.col("id").alias("frame_id"), cards.alias("cards")))
+    for out in (hd.kept(rows), hd.quarantine(rows)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("map(EXPTIME") == 1
+    assert hd.kept(rows).count() == 5
