@@ -71,3 +71,18 @@ def test_outliers_are_measured_against_the_mesh(spark):
     gone = [(r["y"], r["x"]) for r in masked.where("v IS NULL").collect()]
     # a slope of 62 over the frame would hide 80 from one median for all of it
     assert gone == [(20, 9)] and facts.count() == 1 and 125 < facts.first()["bkg"] < 137
+
+
+def test_vectors_meet_frames_before_they_are_pixels(spark):
+    """Pixels that know their type are cut without a join, and outliers are masked without masters of flats."""
+    from frameloom.plans import calibration_queries as cq
+
+    plan = cq.cal_pixels(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate posexplode") < plan.index("Join")
+    rows, px, _ = nights()
+    frames = spark.createDataFrame(rows, FRAMES)
+    pixels = spark.createDataFrame(px, "frame_id long, y long, x long, v double")
+    flats = ca.of_kind(frames, "FLAT")
+    typed = ca.pixels_of(flats, pixels.join(frames.select("frame_id", "imagetyp"), "frame_id"), "FLAT")
+    assert sorted(typed.collect()) == sorted(ca.pixels_of(flats, pixels, "FLAT").collect()) and typed.count() == 640
+    assert "Join" not in ca.pixels_of(flats, frames.select("frame_id", "imagetyp", *(F.lit(0).alias(c) for c in "yxv")), "FLAT")._jdf.queryExecution().optimizedPlan().toString()
