@@ -263,6 +263,34 @@ def test_line_dedup_finds_all_similar_lines(spark):
     assert got == {i: i % 2 for i in range(240)}
 
 
+def test_line_dedup_misses_no_long_line(spark):
+    """Long lines with repeated words, whose edits put in words that no other line has, spread so that they spoil as many blocks as they can: no cap
+    on a line's blocks leaves a pair out. Levels are those of all lines."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for k in range(60):
+        n = rng.choice((30, 31, 35, 36, 40, 60, 100, 200))
+        line = [rng.choice(words[:40] if rng.random() < 0.4 else words) for _ in range(n)]
+        near = list(line)
+        for i in range(2, 2 + 5 * (n // 5), 5):
+            near[i] = f"a{k}x{i}"
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.line_dedup(df).collect()} == {i: i % 2 for i in range(120)}
+    hashes = line_dedup.hashed(line_dedup.split_lines(df, "doc_id", "text"), 5)
+    signs = line_dedup.signed(hashes, line_dedup.word_levels(hashes), 0.8).select("id", "blocks").collect()
+    blocks = {r["id"]: set(r["blocks"]) for r in signs}
+    assert all(blocks[2 * k] & blocks[2 * k + 1] for k in range(60))
+
+
+def test_line_dedup_levels_count_all_lines(spark):
+    lines = spark.range(4000).select(F.array(F.hash(F.lit("often")), F.hash(F.col("id").cast("string"))).alias("h"))
+    slots = F.array(*(F.hash(F.lit(w)).bitwiseAND(F.lit(line_dedup.SLOTS - 1)) for w in ("often", "17")))
+    often, once = spark.range(1).select(F.transform(slots, lambda s: F.shiftright(line_dedup.word_levels(lines)[s], 57)).alias("x")).first()["x"]
+    assert often == line_dedup.LEVELS - 1 and 7 <= once <= 9
+
+
 def test_line_dedup_removes_equal_lines_of_any_length(spark):
     docs = [(1, "Menu\n\nTwo words\na\tb\tc\td\te\tf\n日本語の行"), (2, "menu.\n\nTwo\u00a0 words\r\na b c d\te f\n日本語の行\nlast")]
     out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
