@@ -291,6 +291,30 @@ def test_line_dedup_levels_count_all_lines(spark):
     assert often == line_dedup.LEVELS - 1 and 7 <= once <= 9
 
 
+def test_line_dedup_needs_few_blocks(spark):
+    """Lines of frequent and rare words, of which edits take the rare ones first: every similar pair has a block in common, with no more blocks than
+    edits and one where words are rare."""
+    rng = random.Random(33)
+    often, rows = [f"o{i}" for i in range(60)], []
+    for k in range(400):
+        n, share = rng.choice((5, 9, 10, 14, 20, 29, 30, 31, 36, 37, 38, 60, 100)), rng.choice((0.0, 0.1, 0.2, 0.3, 1.0))
+        line = [f"r{k}x{i}" if rng.random() < share else rng.choice(often) for i in range(n)]
+        near, left = list(line), n // 5
+        for i in sorted(range(n), key=lambda i: (line[i][0] == "o", rng.random()))[:left]:
+            near[i] = rng.choice(([f"n{k}x{i}"], [rng.choice(often)], [], [near[i], f"n{k}x{i}"], [near[i], rng.choice(often)]))
+        near = [w for x in near for w in (x if isinstance(x, list) else [x])]
+        if left <= int(max(n, len(near)) * 0.2 + 1e-6) and len(near) >= 5:
+            rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(near))]
+    hashes = line_dedup.hashed(line_dedup.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"), 5)
+    levels, bits = line_dedup.word_counts(hashes)
+    got = {r["id"]: set(r["blocks"]) for r in line_dedup.signed(hashes, levels, 0.8, bits).collect()}
+    assert len(got) > 600 and all(got[i] & got[i + 1] for i in got if i % 2 == 0)
+    unique = [(i, " ".join(f"u{i}x{j}" for j in range(60))) for i in range(50)]
+    hashes = line_dedup.hashed(line_dedup.split_lines(spark.createDataFrame(unique, "doc_id long, text string"), "doc_id", "text"), 5)
+    levels, bits = line_dedup.word_counts(hashes)
+    assert line_dedup.signed(hashes, levels, 0.8, bits).agg(F.max(F.size("blocks"))).first()[0] == 13
+
+
 def test_line_dedup_removes_equal_lines_of_any_length(spark):
     docs = [(1, "Menu\n\nTwo words\na\tb\tc\td\te\tf\n日本語の行"), (2, "menu.\n\nTwo\u00a0 words\r\na b c d\te f\n日本語の行\nlast")]
     out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
