@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import formulas as fx
-from .survey import sigma_clip
+from .survey import narrowed
 
 SOURCE = ["frame_id", "src_id"]
 CELL = 16
@@ -66,7 +66,10 @@ def ring_sky(pixels: DataFrame, positions: DataFrame, k: float = 3.0, rounds: in
         used = used.where(~F.coalesce(F.col("bad").cast("boolean"), F.lit(False)))
     near = near_pixels(used.select("frame_id", "y", "x", "v"), positions, "r_out")
     ring = near.where("dx * dx + dy * dy > r_in * r_in AND dx * dx + dy * dy <= r_out * r_out").withColumn("v", F.col("pixel.v").cast("double"))
-    kept = sigma_clip(ring, SOURCE, "v", k, rounds)
+    # a ring's pixels meet once: what a source gathers is clipped where it lies, and not read again to be held against its bounds
+    own = ring.groupBy(*SOURCE).agg(F.first("r_in").alias("r_in"), F.first("r_out").alias("r_out"), F.collect_list(F.struct("v", "dx", "dy")).alias("px"))
+    bounds = narrowed(own.withColumn("vs", F.expr("sort_array(transform(px, p -> p.v))")), k, rounds).drop("vs")
+    kept = bounds.select(*SOURCE, "r_in", "r_out", F.explode(F.expr("filter(px, p -> p.v >= lo AND p.v <= hi)")).alias("p")).select(*SOURCE, "r_in", "r_out", "p.*")
     area = shares(shares(kept, "r_out", "outer"), "r_in", "inner").select(*SOURCE, "v", (F.col("outer") - F.col("inner")).alias("area"))
     return area.groupBy(*SOURCE).agg(F.median("v").alias("sky"), F.stddev_pop("v").alias("sky_std"), F.sum("area").alias("n_sky"))
 

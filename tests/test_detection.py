@@ -182,3 +182,10 @@ def test_matches_and_isolation_are_per_frame(spark):
     far = spark.createDataFrame([(1, n, 10.0 * n, 0.1 if n else 2.0) for n in range(20)], "frame_id long, src_id long, x double, y double")
     at = spark.createDataFrame([(1, n, 10.0 * n, 0.0) for n in range(20)], "frame_id long, star_id long, x double, y double")
     assert collections.Counter(r["src_id"] for r in ops.match_nearest(far, at, 3.0, clip=3.0).collect()) == {n: 1 for n in range(1, 20)}
+
+
+def test_a_ring_meets_its_pixels_once(spark):
+    px = spark.createDataFrame([(1, y, x, 5.0 + (y * 7 + x) % 3 + 900.0 * (y == 2)) for y in range(20) for x in range(20)], PX)
+    sky = ap.ring_sky(px, spark.createDataFrame([(1, 1, 10.0, 10.0, 4.0, 8.5)], "frame_id long, src_id long, x double, y double, r_in double, r_out double"))
+    assert sky._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert sky.first()["sky"] == 6.0 and sky.first()["sky_std"] < 1
