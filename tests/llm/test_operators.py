@@ -315,6 +315,52 @@ def test_line_dedup_needs_few_blocks(spark):
     assert line_dedup.signed(hashes, levels, 0.8, bits).agg(F.max(F.size("blocks"))).first()[0] == 13
 
 
+def test_line_dedup_pivots_are_of_a_line_s_length(spark, monkeypatch):
+    """Near copies of a passage, and long lines that hold it and stand in more blocks: the copies are linked by a pivot, not pair by pair."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    copies = [list(passage) for _ in range(150)]
+    for line in copies:
+        for i in rng.sample(range(60), 5):
+            line[i] = rng.choice(passage)
+    long_ones = [passage + [rng.choice(("to", "of", "by")) for _ in range(300)] for _ in range(4)]
+    rows = [(i, " ".join(line)) for i, line in enumerate(copies + long_ones)]
+    counts, keep = {}, line_dedup.keep
+
+    def counted(df, name="table"):
+        out = keep(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "keep", counted)
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(150)] == [0] + [1] * 149
+    assert counts["cross"] < 150
+
+
+def test_line_dedup_sketches_tell_long_lines_apart(spark):
+    """Long lines of other words are no candidates; lines within d edits always are, also where one has a finer sketch than the other."""
+    rng = random.Random(9)
+    rows = []
+    for n in [*range(80, 135), *range(195, 260), *range(400, 420), 700, 6000]:
+        line = [rng.randrange(3000) for _ in range(n)]
+        near = list(line)
+        for i in rng.sample(range(n), n // 5):
+            near[i] = rng.randrange(9000)
+        more = list(line)
+        for _ in range(n // 5):
+            more.insert(rng.randrange(len(more)), rng.randrange(9000))
+        other = [rng.randrange(3000) for _ in range(n)]
+        rows += [(len(rows), n, line), (len(rows) + 1, n, near), (len(rows) + 2, len(more), more), (len(rows) + 3, n, other)]
+    lines = spark.createDataFrame(rows, "line long, n int, words array<string>").withColumn("h", F.transform("words", lambda w: F.hash(w)))
+    lines = line_dedup.sketched(lines)
+    of = lambda c: lines.select(*(F.col(x).alias(y) for x, y in (("line", c), ("n", f"{c}_n"), ("sketch", f"{c}_sketch"))))
+    pairs = of("u").join(of("v"), (F.col("u") % 4 == 0) & (F.col("v") > F.col("u")) & (F.col("v") < F.col("u") + 4))
+    got = {(r["u"], r["v"]) for r in line_dedup.near_ones(pairs, 0.8).collect()}
+    assert all((u, u + k) in got for u in range(0, len(rows), 4) for k in (1, 2))
+    assert not any((u, u + 3) in got for u in range(0, len(rows), 4) if 102 < rows[u][1] < 1000)
+
+
 def test_line_dedup_removes_equal_lines_of_any_length(spark):
     docs = [(1, "Menu\n\nTwo words\na\tb\tc\td\te\tf\n日本語の行"), (2, "menu.\n\nTwo\u00a0 words\r\na b c d\te f\n日本語の行\nlast")]
     out = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
