@@ -123,3 +123,23 @@ def test_isolated_meets_few_cells_in_tasks_by_rows(spark, monkeypatch):
     plan = ops.isolated(many, 15.0)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 2 and ", 3" in plan
     assert ops.cells(many, 60.0, reach=15.0).count() < 4 * 250_000
+
+
+def test_fields_leave_out_what_lies_near_bright_stars(spark):
+    """Bright stars of a field hide fainter ones about them, also from the pixels about the image, which count as its own."""
+    rng = random.Random(3)
+    sky = [(i, rng.uniform(8.9, 11.1), rng.uniform(-1.1, 1.1), 12.0 if i % 12 == 0 else 14.0) for i in range(160)]
+    sky += [(500, 10.0, 1.03, 14.0), (501, 10.3, 1.03, 14.0), (502, 10.3, 1.03, 12.0)]  # 3 pixels beyond the border
+    df = spark.createDataFrame(sky, "star_id long, ra double, dec double, mag double")
+    f = spark.createDataFrame([(0, 10.0, 0.0), (1, 10.9, 0.3), (2, 10.0, 0.0)], "field_id long, ra double, dec double")
+    faint, bright = df.where("mag > 13"), df.where("mag <= 13")
+    got = {(r["field_id"], r["star_id"]) for r in ops.isolated_in_fields(faint, f, 0.002, 1024, 20.0, bright, 60.0, 10).collect()}
+    want, bare = set(), set()
+    for k, ra, dec in ((r["field_id"], r["ra"], r["dec"]) for r in f.collect()):
+        x, y = fx.sky_to_pixel("ra", "dec", f"{ra}e0", f"{dec}e0", "0.002e0", "512", "512")
+        at = [r for r in df.select("star_id", "mag", F.expr(x).alias("x"), F.expr(y).alias("y")).collect() if -10 <= r["x"] <= 1034 and -10 <= r["y"] <= 1034]
+        near = lambda a, mags, d: any(a["star_id"] != b["star_id"] and b["mag"] in mags and math.hypot(a["x"] - b["x"], a["y"] - b["y"]) < d for b in at)  # noqa: B023, E731
+        alone = [a for a in at if a["mag"] > 13 and not near(a, (14.0,), 20)]
+        bare |= {(k, a["star_id"]) for a in alone}
+        want |= {(k, a["star_id"]) for a in alone if not near(a, (12.0,), 60)}
+    assert got == want and want < bare and {s for _, s in bare} >= {500, 501} and 501 not in {s for _, s in got}
