@@ -37,24 +37,24 @@ def tile_fwhm(sources: DataFrame, tiles: DataFrame, fallback: float = 2.5, least
     return out.withColumn("fwhm", width).drop("_own", "_middle")
 
 
-def frame_photometry(pixels: DataFrame, sources: DataFrame, exptime: float | DataFrame, side: int = 500, size: tuple[int, int] = (4096, 4096), peaks: tuple[float, float] = (300.0, 3000.0), psf: DataFrame | None = None, fallback: float = 2.5) -> DataFrame:
-    """Photometry (apertures.measure) of all sources, each with the width of its tile: of psf (frame_id, i, j, fwhm_avg), or of the round
-    sources themselves. exptime is one for all, or a table (frame_id, exptime); a frame that it lacks has no magnitudes."""
+def frame_photometry(pixels: DataFrame, sources: DataFrame, exptime: float | DataFrame, side: int = 500, size: tuple[int, int] = (4096, 4096), peaks: tuple[float, float] = (300.0, 3000.0), psf: DataFrame | None = None, fallback: float = 2.5, **options) -> DataFrame:
+    """Photometry (apertures.measure, with its options) of all sources, each with the width of its tile: of psf (frame_id, i, j, fwhm_avg), or of the
+    round sources themselves. exptime is one for all, or a table (frame_id, exptime); a frame that it lacks has no magnitudes."""
     tiled = tiles_of(sources, side, size=size)
     at = tile_fwhm(tiled.select("frame_id", "src_id", "x", "y", "i", "j"), tile_widths(de.round_stars(tiled, *peaks)) if psf is None else psf, fallback)
     at = at.join(exptime.select("frame_id", "exptime"), "frame_id", "left") if isinstance(exptime, DataFrame) else at.withColumn("exptime", F.lit(exptime))
-    return measure(pixels, checkpointed(at))
+    return measure(pixels, checkpointed(at), **options)
 
 
-def frame_zeropoints(pixels: DataFrame, catalogue: DataFrame, exptime: float | DataFrame, low: float = 13.0, high: float = 18.0, detect: dict | None = None, photometry: dict | None = None, tolerance: float = 3.0, match_clip: float | None = 3.0, k: float = 3.0, rounds: int = 5) -> DataFrame:
-    """frame_id, zp, zp_err, n: sources of the pixels, matched with the catalogue (frame_id, star_id, x, y, mag) within the tolerance, those of
+def frame_zeropoints(pixels: DataFrame, catalogue: DataFrame, exptime: float | DataFrame, low: float = 13.0, high: float = 18.0, detect: dict | None = None, photometry: dict | None = None, tolerance: float = 3.0, match_clip: float | None = 3.0, k: float = 3.0, rounds: int = 5, sources: DataFrame | None = None) -> DataFrame:
+    """frame_id, zp, zp_err, n: sources of the pixels (or those given), matched with the catalogue (frame_id, star_id, x, y, mag) within the tolerance, those of
     low to high magnitude (both included) measured, and the clipped median of catalogue minus instrumental magnitude.
 
     A frame without a good match has no row; one with a single match has no zp_err. `detect` and `photometry` are options of
     detection.detect_sources and frame_photometry; a pixel column bad, if there is one, is used by both.
     """
     options = {"bad": "bad"} if "bad" in pixels.columns else {}
-    sources = checkpointed(de.source_table(de.detect_sources(pixels, **(options | (detect or {})))))
+    sources = checkpointed(de.source_table(de.detect_sources(pixels, **(options | (detect or {}))))) if sources is None else sources
     stars = catalogue.select("frame_id", "star_id", F.col("mag").alias("cat_mag")).where(F.col("cat_mag").between(low, high))
     matched = match_nearest(sources, catalogue, tolerance, match_clip).join(stars, ["frame_id", "star_id"])
     phot = frame_photometry(pixels, sources, exptime, **(photometry or {})).join(matched.select("frame_id", "src_id", "cat_mag"), ["frame_id", "src_id"])

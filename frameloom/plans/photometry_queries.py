@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import formulas as fx
 from ..operators import detection as de
+from ..operators import imaging as im
 from ..operators import survey as ops
 from ..operators import zeropoints as zp
 from ..operators.survey import checkpointed
@@ -44,9 +45,9 @@ SHAPES = f"""sums AS (SELECT frame_id, label_y, label_x, count(*) AS npix, sum(n
 DETECTED = MOSAIC + MESH + FOUND + SHAPES
 
 
-def image(spark, d) -> DataFrame:
-    """The mosaics, written once, as every query reads them several times; full pixels are bad."""
-    px = t.mosaic(spark, d).withColumn("bad", F.col("v") >= FULL)
+def image(spark, d, frames: DataFrame | None = None) -> DataFrame:
+    """The mosaics (of the given frames), written once, as every query reads them several times; full pixels are bad."""
+    px = t.mosaic(spark, d, frames).withColumn("bad", F.col("v") >= FULL)
     return checkpointed(px.withColumn("err", F.sqrt(F.greatest("v", F.lit(0.0)) / GAIN + (NOISE / GAIN) ** 2)))
 
 
@@ -92,11 +93,11 @@ def _(spark, d):
     return de.mask_sources(px, members(px), de.blob_kind(BLOB))
 
 
-def catalogue_stars(spark, d) -> DataFrame:
+def catalogue_stars(spark, d, frames: DataFrame | None = None) -> DataFrame:
     """What a catalogue has of the planted stars: places a little off, some far off, and magnitudes about a zero point of 20."""
     far = F.when(F.col("star_id") % 11 == 3, 2.0).otherwise(0.0)
     mag = 20 - 2.5 * F.log10("flux") + (F.col("star_id") % 5 - 2) * 0.01
-    return t.planted(spark, d).select("frame_id", "star_id", (F.col("x") + (F.col("star_id") % 3 - 1) * 0.125 + far).alias("x"), "y", mag.alias("mag"))
+    return t.planted(spark, d, frames).select("frame_id", "star_id", (F.col("x") + (F.col("star_id") % 3 - 1) * 0.125 + far).alias("x"), "y", mag.alias("mag"))
 
 
 CATALOGUE = ", cat AS (SELECT frame_id, star_id, x + (star_id % 3 - 1) * 0.125::DOUBLE + CASE WHEN star_id % 11 = 3 THEN 2 ELSE 0 END AS x, y, 20 - 2.5::DOUBLE * log10(flux) + (star_id % 5 - 2) * 0.01::DOUBLE AS mag FROM planted)"
@@ -149,3 +150,35 @@ def _(spark, d):
     path = products.fresh_folder(spark, "psf")
     products.write_psf_table(tiles, path)
     return rounded(zp.tile_fwhm(at, products.read_psf_table(spark, path)), "fwhm").select("src_id", "fwhm")
+
+
+#: Pixels of the mosaics in degrees, wide enough for predictions that are spread over the sky; the width of stars that headers give; radii in widths.
+SCALE, WIDTH, RADII = 2.0, 2.5, (1.5, 3.0, 4.0)
+#: Predictions of a task.
+ROWS = 10_000
+
+
+@query("moving_object_photometry")
+def _(spark, d):
+    """Each frame's own predictions, seven widths away from its border, centred above the background, measured through circles as wide as their
+    tile's stars, and joined with what their frame's header and zero point say. Frames without predictions have no pixels here, and predictions at one
+    place of a frame are measured once."""
+    frames = t.mosaic_frames(spark, d)
+    x, y = fx.sky_to_pixel("ra", "dec", "ra0", "dec0", f"{SCALE}e0", "32", "32")
+    own = t.ephemeris(spark, d).withColumnRenamed("obsid", "frame_id").join(frames.select("frame_id", "ra0", "dec0"), "frame_id").where(F.expr(f"{fx.angular_separation('ra', 'dec', 'ra0', 'dec0')} < 89"))
+    # the projection is made once, and not again in each expression on it
+    placed = own.select("frame_id", "eph_id", "vmag", F.explode(F.array(F.struct(F.expr(x).alias("x"), F.expr(y).alias("y")))).alias("p")).select("frame_id", "eph_id", "vmag", "p.x", "p.y")
+    every = checkpointed(placed.where(f"least(x, y, 64 - x, 64 - y) > {7 * WIDTH}"))
+    once = every.groupBy("frame_id", "x", "y").agg(F.min("eph_id").alias("src_id"))
+    used = checkpointed(every.select("frame_id").distinct())
+    px = image(spark, d, used)
+    net = de.background_at(px, im.background(px.where("NOT bad"), BOX), BOX).select("frame_id", "y", "x", (F.col("v") - F.col("bg")).alias("v"))
+    at = checkpointed(im.windowed_centroids(net, once.select("frame_id", "src_id", "x", "y"), WIDTH, 3, ROWS))
+    sources = checkpointed(de.source_table(members(px)))
+    psf = zp.tile_widths(de.round_stars(zp.tiles_of(sources, SIDE, size=(64, 64)), *PEAKS))
+    phot = zp.frame_photometry(px, at, EXPTIME, SIDE, (64, 64), psf=psf, fallback=WIDTH, radii=RADII, dense=ROWS)
+    zero = zp.frame_zeropoints(px, catalogue_stars(spark, d, used), EXPTIME, 8.5, 12.5, photometry=PHOTOMETRY, match_clip=1.5, sources=sources)
+    known = frames.drop("ra0", "dec0").withColumn("fwhm_global", F.lit(WIDTH)).join(zero.select("frame_id", F.col("zp").alias("zp_global"), F.col("zp_err").alias("zperr_global")), "frame_id", "left")
+    named = every.withColumnsRenamed({"x": "x_init", "y": "y_init"}).join(once.withColumnsRenamed({"x": "x_init", "y": "y_init"}), ["frame_id", "x_init", "y_init"])
+    out = named.join(phot.drop("exptime").withColumnsRenamed({"x": "x_winpos", "y": "y_winpos", "net_err": "err"}), ["frame_id", "src_id"]).join(known, "frame_id")
+    return out.select("frame_id", F.col("eph_id").alias("src_id"), "vmag", "x_init", "y_init", "x_winpos", "y_winpos", "fwhm", "aperture_sum", "area", "sky", "sky_std", "n_sky", "n_bad", "net", "err", "snr", "mag_inst", "mag_err", "bad", *(c for c in known.columns if c != "frame_id"))
