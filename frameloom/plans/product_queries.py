@@ -15,12 +15,12 @@ from .survey_queries import QUERIES, SQL, _duck_stack, query, rounded
 
 @query("scan_headers", t.with_("frames") + "SELECT file, imagetyp, detector, exptime FROM frames WHERE frame_id % 97 <> 0")
 def _(spark, d):
-    """A file on disk for every frame, of which one of 97 breaks off before its end, read through the data source."""
+    """A file for every frame, in archives on disk, of which one of 97 breaks off before its end, read through the data source."""
     cards = F.array(fits.card("SIMPLE", F.lit("T")), fits.card("BITPIX", F.lit(16)), fits.card("NAXIS", F.lit(0)), fits.text_card("IMAGETYP", F.col("imagetyp")), fits.card("DETECTOR", F.col("detector")), fits.card("EXPTIME", F.col("exptime")))
     whole = t.frames(spark, d).withColumn("head", fits.header_bytes(cards))
     files = whole.select(F.col("file").alias("path"), F.encode(F.when(F.col("frame_id") % 97 == 0, F.substr("head", F.lit(1), F.lit(400))).otherwise(F.col("head")), "ISO-8859-1").alias("content"))
     folder = products.fresh_folder(spark, "files")
-    fits.save_files(files, folder)
+    fits.save_archives(files, folder)
     found = read_fits(spark, folder, keys=("IMAGETYP", "DETECTOR", "EXPTIME"))
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("IMAGETYP").alias("imagetyp"), F.col("DETECTOR").cast("long").alias("detector"), F.col("EXPTIME").cast("double").alias("exptime"))
 
@@ -31,7 +31,7 @@ def _(spark, d):
     head = fits.header_bytes(F.array(fits.card("SIMPLE", F.lit("T")), fits.card("BITPIX", F.lit(16)), fits.card("NAXIS", F.lit(0))))
     broken = F.when(F.col("frame_id") % 97 == 0, F.substr("head", F.lit(1), F.lit(160))).otherwise(F.col("head"))
     folder = products.fresh_folder(spark, "files")
-    fits.save_files(t.frames(spark, d).withColumn("head", head).select(F.col("file").alias("path"), F.encode(broken, "ISO-8859-1").alias("content")), folder)
+    fits.save_archives(t.frames(spark, d).withColumn("head", head).select(F.col("file").alias("path"), F.encode(broken, "ISO-8859-1").alias("content")), folder)
     return read_fits(spark, folder, "refused").select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason")
 
 

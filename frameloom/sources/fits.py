@@ -8,11 +8,15 @@ SIMPLE, has no END card, or holds fewer bytes than its header says; such files h
 
 from __future__ import annotations
 
+import gzip
+import io
+import tarfile
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +52,37 @@ def save_files(files: DataFrame, folder: str) -> int:
     return files.select("path", "content").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def save_archives(files: DataFrame, folder: str, most: int = 4096) -> int:
+    """Write the files (path, content) as members of compressed archives of at most `most` files, in FOLDERS folders as save_files does; how many
+    files there were. Small files by the million would take a block and an inode of the disk each. A task that is run again writes the same
+    archives again."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = file_system(folder)
+        part, n, tar, packed, out = TaskContext.get().partitionId(), 0, None, None, None
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                if n % most == 0:
+                    if tar:
+                        tar.close(), packed.close(), out.close()
+                    name = f"{part:06d}-{n // most:06d}.tar.gz"
+                    place = f"{root}/{zlib.crc32(name.encode()) % FOLDERS:04d}"
+                    fs.create_dir(place, recursive=True)
+                    out = fs.open_output_stream(f"{place}/{name}", compression=None)
+                    packed = gzip.GzipFile(fileobj=out, mode="wb", compresslevel=1, mtime=0)
+                    tar = tarfile.open(fileobj=packed, mode="w|", format=tarfile.GNU_FORMAT)
+                member = tarfile.TarInfo(path)
+                member.size = len(content)
+                tar.addfile(member, io.BytesIO(content))
+                tar.members.clear()  # it would remember all
+                n += 1
+            yield pd.DataFrame({"n": [len(batch)]})
+        if tar:
+            tar.close(), packed.close(), out.close()
+
+    return files.select("path", "content").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def header_bytes(cards: Column) -> Column:
     """The header block of an array of cards, as text."""
     body = F.concat(F.array_join(F.transform(cards, lambda c: F.rpad(c, CARD, " ")), ""), F.rpad(F.lit("END"), CARD, " "))

@@ -6,7 +6,9 @@ BZERO are applied, and BLANK and NaN are null. table=refused: path, hdu, reason,
 
 Files are split by bytes: a task gets small files together, or a range of rows of a large file's images, and reads the header blocks
 and its own rows only. Of headers and refused files, the driver lists the folder's own files and the names of its subfolders only; the
-subfolders are dealt to tasks (DEALT at most), which list them one after another, so millions of files belong in subfolders. Pixels need all sizes first. The option `keys` (comma-separated) adds those cards as text columns. Filters by equality or IN on path, hdu and these
+subfolders are dealt to tasks (DEALT at most), which list them one after another, so millions of files belong in subfolders, and small ones in
+archives there: the files in an archive (.tar, .tar.gz, .tgz) are read one after another by one task, each whole, and have the archive's path before their
+own; one that breaks off is refused itself, after the files before that. Pixels need all sizes first. The option `keys` (comma-separated) adds those cards as text columns. Filters by equality or IN on path, hdu and these
 columns, and comparisons with y, are pushed down: a file whose path doesn't match is not opened, pixels of an image whose header doesn't match
 are not read, and rows of pixels beyond the bounds aren't either.
 
@@ -19,6 +21,8 @@ results.
 from __future__ import annotations
 
 import fnmatch
+import io
+import tarfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 BLOCK, CARD, DEALT = 2880, 80, 256
+ARCHIVES = (".tar", ".tar.gz", ".tgz")
 #: FITS numbers of bits per pixel, and what they stand for.
 KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 SCHEMAS = {
@@ -208,9 +213,29 @@ class FitsReader(DataSourceReader):
             else:
                 yield f
 
+    def named(self, path: str) -> bool:
+        """Whether the name pattern and the path filter let a file through."""
+        name = path.rsplit("/", 1)[-1]
+        return fnmatch.fnmatch(name, self.glob) and not name.startswith(("_", ".")) and ("path" not in self.equal or path in self.equal["path"])
+
     def wanted(self, x: pafs.FileInfo) -> bool:
-        """Whether it is a file that the name pattern and the path filter let through."""
-        return x.is_file and fnmatch.fnmatch(x.base_name, self.glob) and not x.base_name.startswith(("_", ".")) and ("path" not in self.equal or x.path in self.equal["path"])
+        """Whether it is a file to be read: an archive may hold such files."""
+        if x.is_file and x.path.endswith(ARCHIVES):
+            return not x.base_name.startswith(("_", ".")) and ("path" not in self.equal or any(p == x.path or p.startswith(f"{x.path}/") for p in self.equal["path"]))
+        return x.is_file and self.named(x.path)
+
+    def opened(self, fs: pafs.FileSystem, name: str, size: int) -> Iterator[tuple[str, int, object]]:
+        """Path, size and open file of a file, or of those of an archive."""
+        if not name.endswith(ARCHIVES):
+            with fs.open_input_file(name) as f:
+                yield name, size, f
+            return
+        with fs.open_input_stream(name, compression=None if name.endswith(".tar") else "gzip") as f, tarfile.open(fileobj=f, mode="r|") as tar:
+            for member in tar:
+                if member.isfile() and self.named(f"{name}/{member.name}"):
+                    data = tar.extractfile(member).read()
+                    yield f"{name}/{member.name}", len(data), io.BytesIO(data)
+                tar.members.clear()  # it would remember all
 
     def listed(self, path: str, recursive: bool) -> tuple[list[tuple[str, int]], list[str]]:
         """Path and size of the files that the path filter lets through, and the folders."""
@@ -223,8 +248,9 @@ class FitsReader(DataSourceReader):
         out, room = [], 0
         files, folders = self.listed(self.path, self.table == "pixels")
         for name, size in files:
-            parts = max(1, -(-size // self.split)) if self.table == "pixels" else 1
-            cost = max(size // parts, BLOCK) if self.table == "pixels" else 4 * BLOCK
+            packed = name.endswith(ARCHIVES)
+            parts = max(1, -(-size // self.split)) if self.table == "pixels" and not packed else 1
+            cost = max(size // parts, BLOCK) if self.table == "pixels" or packed else 4 * BLOCK
             for part in range(parts):
                 if room < cost:
                     out.append(Piece())
@@ -280,10 +306,15 @@ class FitsReader(DataSourceReader):
         fs, _ = file_system(self.path)
         schema = pa.schema([*ARROW[self.table], *((k, pa.string()) for k in self.keys if self.table != "refused")])
         rows, size = [], 0
-        for name, total, part, parts in self.files_of(partition) if partition else ():
-            hdu = -1
-            try:
-                with fs.open_input_file(name) as f:
+        for place, size_, part, parts in self.files_of(partition) if partition else ():
+            files = self.opened(fs, place, size_)
+            while True:
+                name, hdu = place, -1
+                try:
+                    found = next(files, None)
+                    if found is None:
+                        break
+                    name, total, f = found
                     for unit in units(f, total):
                         hdu = unit.hdu
                         self.checked(f, unit)
@@ -294,9 +325,10 @@ class FitsReader(DataSourceReader):
                                 yield self.batch(rows, schema)
                                 rows, size = [], 0
                     hdu += 1
-            except (Refused, OSError) as e:
-                if self.table == "refused":
-                    rows.append({"path": name, "hdu": hdu + (hdu < 0 or not str(e).startswith(("BSCALE", "BZERO", "BLANK"))), "reason": str(e)})
+                except (Refused, OSError, EOFError, tarfile.TarError) as e:
+                    if self.table == "refused":
+                        rows.append({"path": name, "hdu": hdu + (hdu < 0 or not str(e).startswith(("BSCALE", "BZERO", "BLANK"))), "reason": str(e)})
+                        size += 500
         if rows:
             yield self.batch(rows, schema)
 

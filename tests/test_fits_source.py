@@ -125,3 +125,27 @@ def test_files_in_subfolders_are_listed_by_tasks(spark, tmp_path):
     nested.mkdir(parents=True)
     (nested / "deep.fits").write_bytes(head(*axes(2, 2)) + padded(b"\0" * 8))
     assert read(spark, str(tmp_path), "headers").where("name = 'deep.fits'").count() == 1 and read(spark, str(tmp_path), "pixels").count() == 2
+
+
+def test_small_files_lie_in_archives(spark, tmp_path):
+    """Thousands of files take few inodes, are read as if they lay in the folder, and an archive that breaks off is refused after what it still has."""
+    from frameloom.sources import fits
+
+    rows = spark.range(0, 3000, 1, 3).select(F.format_string("f%d.fits", "id").alias("path"), F.when(F.col("id") % 100 == 0, F.lit(b"SIMPLE  = T")).otherwise(F.lit(head("BITPIX  = 8", "NAXIS   = 0"))).alias("content"))
+    root = tmp_path / "all"
+    assert fits.save_archives(rows, str(root), 400) == 3000 and fits.save_archives(rows.limit(0), str(root)) == 0
+    on_disk = [p for p in root.rglob("*") if p.is_file()]
+    assert len(on_disk) == 9 and sum(p.stat().st_size for p in on_disk) < 3000 * 100
+    base = lambda table, where="true": sorted(r["name"] for r in read(spark, str(root), table).where(where).select("name").collect())
+    assert base("headers") == sorted(f"f{k}.fits" for k in range(3000) if k % 100) and base("refused") == sorted(f"f{k}.fits" for k in range(0, 3000, 100))
+    one = read(spark, str(root), "headers").where("name = 'f1234.fits'").first()["path"]
+    assert one.split(".tar.gz/")[1] == "f1234.fits" and base("headers", f"path = '{one}'") == ["f1234.fits"]
+    image = spark.createDataFrame([("a.fits", head(*axes(2, 3, bits=8)) + padded(bytes(range(6)))), ("b.txt", b"no image")], "path string, content binary").coalesce(1)
+    fits.save_archives(image, str(tmp_path / "images"))
+    assert sorted(r["row"] for r in read(spark, str(tmp_path / "images"), "pixels").collect()) == [[0.0, 1.0], [2.0, 3.0], [4.0, 5.0]]
+    whole = max(on_disk, key=lambda p: p.stat().st_size).read_bytes()
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "x.tar.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "cut" / "y.tar").write_bytes(b"something else" * 100)
+    refused = [r["path"].rsplit("/", 1)[-1] for r in read(spark, str(tmp_path / "cut"), "refused").collect()]
+    assert {"x.tar.gz", "y.tar"} <= set(refused) and 0 < read(spark, str(tmp_path / "cut"), "headers").count() < 400
