@@ -143,3 +143,21 @@ def test_fields_leave_out_what_lies_near_bright_stars(spark):
         bare |= {(k, a["star_id"]) for a in alone}
         want |= {(k, a["star_id"]) for a in alone if not near(a, (12.0,), 60)}
     assert got == want and want < bare and {s for _, s in bare} >= {500, 501} and 501 not in {s for _, s in got}
+
+
+def test_rows_and_fields_meet_last(spark):
+    """Copies of places and centres: each pair of a row and its field is there, rounded as its place's pixel is, and pairs are not shuffled."""
+    sky = [(k, 10.0 + 0.01 * (k % 50), 0.005 * (k % 50) - 0.1) for k in range(300)]
+    s = spark.createDataFrame(sky, "eph_id long, ra double, dec double")
+    f = spark.createDataFrame([(k, 10.0 + k % 2, 0.0) for k in range(30)], "field_id long, ra double, dec double")
+    df = ops.in_fields(s, f, 0.002, 512, digits=4)
+    got = {(r["eph_id"], r["field_id"]): (r["x"], r["y"]) for r in df.collect()}
+    want = {}
+    for c in (10, 11):
+        x, y = fx.sky_to_pixel("ra", "dec", f"{c}e0", "0e0", "0.002e0", "256", "256")
+        for r in s.select("eph_id", F.expr(x).alias("x"), F.expr(y).alias("y")).where("x BETWEEN 0 AND 512 AND y BETWEEN 0 AND 512").collect():
+            want |= {(r["eph_id"], k): (round(r["x"], 4) + 0.0, round(r["y"], 4) + 0.0) for k in range(30) if 10 + k % 2 == c}
+    assert got == want and len(want) > 3000
+    # the last join sends the fields to the pairs of a row and a centre
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan.split("Join")[1]
